@@ -7,8 +7,9 @@ pair just at it shares a band with a probability of at least 1 - `miss`.
 
 Equal sets become one class at once. Within a band's bucket, pairs are not all emitted: first every member is checked against the
 bucket's smallest member, its hub. Of the other pairs, only those are checked that (1) the links so far leave in different
-components, (2) sizes allow, and (3) the triangle inequality of the Jaccard distance over their exact distances to the
-hub allows. What (1) to (3) leave out cannot change a component, so no link between components is lost.
+components, (2) the triangle inequality of the Jaccard distance over their exact distances to the hub allows, and (3) sizes
+allow, where shingles that no other document in an open bucket has count for nothing, as they cannot be shared. What (1) to (3)
+leave out cannot change a component, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -137,6 +138,24 @@ def _sets(size: int):
     return run
 
 
+def _exploded(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", 1 << 20):
+            sets = list(shingle_sets(*bytes_of(batch.column("text")), size))
+            at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "hash"])
+
+    return run
+
+
+def _with_common(open_members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Adds `common`: how many of a document's shingles another document of these has too."""
+    ids = open_members.select(F.col("id").alias("doc_id")).distinct()
+    hashes = texts.join(ids, "doc_id").mapInArrow(_exploded(size), "doc_id long, hash long")
+    alone = hashes.groupBy("hash").agg(F.count("*").alias("times"), F.min("doc_id").alias("id")).where("times = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    return open_members.join(alone, "id", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared = []
@@ -189,10 +208,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
         .select("key", "id", "n", "far", F.coalesce("component", "id").alias("part"))
     )
     open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    still = cut(placed.join(open_keys, "key", "left_semi"))
+    still = cut(_with_common(cut(placed.join(open_keys, "key", "left_semi")), texts, size))
     x, y = still.alias("x"), still.alias("y")
     reach = 1 - percent / 100 + 1e-9
-    allowed = (F.col("x.part") < F.col("y.part")) & (F.abs(F.col("x.far") - F.col("y.far")) <= reach) & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n"))
+    most = F.least("x.common", "y.common")
+    allowed = (F.col("x.part") < F.col("y.part")) & (F.abs(F.col("x.far") - F.col("y.far")) <= reach) & (F.lit(100) * most >= F.lit(percent) * (F.col("x.n") + F.col("y.n") - most))
     rest = cut(x.join(y, (F.col("x.key") == F.col("y.key")) & allowed).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.when(F.col("x.id") < F.col("y.id"), F.col("x.n")).otherwise(F.col("y.n")).alias("n_a"), F.when(F.col("x.id") < F.col("y.id"), F.col("y.n")).otherwise(F.col("x.n")).alias("n_b")).distinct())
     more = cut(_checked(rest.select("a", "b"), texts, size).join(rest, ["a", "b"]).where(linked).select("a", "b"))
     if not more.isEmpty():

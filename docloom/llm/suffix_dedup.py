@@ -189,10 +189,14 @@ def _kept_and_spans(text: bytes, low: list[int], high: list[int], length: int) -
     return np.frombuffer(text, dtype=np.uint8)[~gone].tobytes(), spans
 
 
+def _mark(text: F.Column) -> F.Column:
+    return (F.crc32(text.cast("binary")) - 2**31).cast("int")
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     """Rows are told apart by doc_id and the text's CRC (a null doc_id: by the text's hash)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), F.crc32(text.cast("binary")).cast("int").alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), _mark(text).alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def repeated_runs(docs: DataFrame, length: int = 200) -> DataFrame:
@@ -235,7 +239,7 @@ def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """The rows of `docs`, with all their columns: text without its repeated strings (and without characters that a cut has halved),
     n_chars, where there is one, its new length. Null texts stay null."""
     schema = docs.schema
-    marked = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))), "_mark": F.crc32(F.coalesce("text", F.lit("")).cast("binary")).cast("int")})
+    marked = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))), "_mark": _mark(F.coalesce("text", F.lit("")))})
     runs = repeated_runs(docs, length).select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
