@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, exact_dedup, language_id, minhash, packing, sharding, suffix_dedup, token_counts, url_filter
+from docloom.llm import ann, bpe, exact_dedup, language_id, minhash, packing, sharding, suffix_dedup, token_counts, url_filter
 from docloom.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept")
 
