@@ -167,10 +167,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, beam: int = 64, blo
     index = build_index(vectors, k=k, **parameters)
     queries = _usable(vectors).where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
     blocks = max(1, math.ceil(queries.count() / block))
-    shards = index.select("dim", "shard").distinct()
-    asked = queries.select("vec_id", "vec", F.size("vec").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block")).join(shards, "dim")
+    shards = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("of_shard")).distinct()
+    asked = queries.select("vec_id", "vec", F.size("vec").alias("of_dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("of_block")).join(shards, "of_dim")
     offered = index.withColumn("block", F.explode(F.array(*(F.lit(b) for b in range(blocks))))) if blocks > 1 else index.withColumn("block", F.lit(0))
-    keys = ["dim", "shard", "block"]
-    found = offered.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_searched(k, beam), "query_id long, vec_id long, score double")
+    found = offered.groupBy("dim", "shard", "block").cogroup(asked.groupBy("of_dim", "of_shard", "of_block")).applyInPandas(_searched(k, beam), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -6,7 +6,7 @@ surrounds them; with triggers by residue, as in the usual parsing, a window migh
 the phrases. Each trigger owns a run of consecutive windows.
 
 Dictionary: the bytes at a trigger are its key. Only triggers whose key occurs at least twice in the corpus can own a
-repeated window; they are found by counting keys (16 to 30 bytes a trigger are moved, no text).
+repeated window; they are found by sorting keys (28 bytes a trigger are moved, no text).
 
 Order: of those triggers, the surroundings that their windows reach are dealt by key. Sorted by what follows the
 trigger, they stand in the order of suffixes of the parse; sorted by what precedes it, read backwards, in the order of the phrase
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import bytes_of, mixed, pieces, shuffle_partitions
@@ -190,7 +190,7 @@ def _kept_and_spans(text: bytes, low: list[int], high: list[int], length: int) -
 
 
 def _mark(text: F.Column) -> F.Column:
-    return (F.crc32(text.cast("binary")) - 2**31).cast("int")
+    return F.coalesce((F.crc32(text.cast("binary")) - 2**31).cast("int"), F.lit(0))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -204,11 +204,13 @@ def repeated_runs(docs: DataFrame, length: int = 200) -> DataFrame:
     if length < GRAM:
         raise ValueError(f"repeated strings must have {GRAM} bytes at least")
     n = shuffle_partitions(docs.sparkSession)
-    whole = _identified(docs).select("doc", "mark", "text")
-    parsed = whole.mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long").repartition(n, "key")
-    dictionary = parsed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    runs = parsed.join(dictionary, "key", "left_semi").groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs"))
-    around = whole.join(runs, ["doc", "mark"]).mapInArrow(_surroundings(length), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
+    whole = _identified(docs)
+    parsed = whole.select("doc", "mark", "text").mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long")
+    same = Window.partitionBy("key").orderBy("doc", "first")
+    again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("_before is not null or _after is not null")
+    runs = again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs"))
+    # all columns go on, so that this join and that of the result share one exchange of the texts
+    around = whole.join(runs, ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs").mapInArrow(_surroundings(length), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
     found = around.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "doc long, mark int, low long, high long")
     return found.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
 
@@ -232,20 +234,20 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([o[i] for o in out], t) for i, t in enumerate(kinds))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     joined = _identified(docs).join(repeated_runs(docs, length), ["doc", "mark"], "left")
-    return joined.select("doc_id", "text", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.select("doc", "mark", "doc_id", "text", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """The rows of `docs`, with all their columns: text without its repeated strings (and without characters that a cut has halved),
     n_chars, where there is one, its new length. Null texts stay null."""
     schema = docs.schema
-    marked = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))), "_mark": _mark(F.coalesce("text", F.lit("")))})
-    runs = repeated_runs(docs, length).select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
+    marked = docs.withColumns({"__docloom_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))), "__docloom_mark": _mark(F.coalesce("text", F.lit("")))})
+    runs = repeated_runs(docs, length).select(F.col("doc").alias("__docloom_doc"), F.col("mark").alias("__docloom_mark"), F.col("runs").alias("__docloom_runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_runs")):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("__docloom_runs")):
                 if text is not None and spans.is_valid:
                     text = _kept_and_spans(text.encode(), spans.values.field(0).to_pylist(), spans.values.field(1).to_pylist(), length)[0].decode("utf-8", "ignore")
                 texts.append(text)
@@ -255,4 +257,4 @@ def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return marked.join(runs, ["_doc", "_mark"], "left").select(*(F.col(f"`{c}`") for c in schema.names), "_runs").mapInArrow(run, schema)
+    return marked.join(runs, ["__docloom_doc", "__docloom_mark"], "left").select(*(F.col(f"`{c}`") for c in schema.names), "__docloom_runs").mapInArrow(run, schema)
