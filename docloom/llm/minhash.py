@@ -8,8 +8,8 @@ pair just at it shares a band with a probability of at least 1 - `miss`.
 Equal sets become one class at once. Within a band's bucket, pairs are not all emitted: first every member is checked against the
 bucket's smallest member, its hub. Of the other pairs, only those are checked that (1) the links so far leave in different
 components, (2) the triangle inequality of the Jaccard distance over their exact distances to the hub allows, and (3) sizes
-allow, where shingles that no other document in an open bucket has count for nothing, as they cannot be shared. What (1) to (3)
-leave out cannot change a component, so no link between components is lost.
+allow: those of the sets, or in buckets with more than `crowded` such members, of the sets without rare shingles (see
+_crowded_pairs). What (1) to (3) leave out cannot change a component, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -148,12 +148,29 @@ def _exploded(size: int):
     return run
 
 
-def _with_common(open_members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Adds `common`: how many of a document's shingles another document of these has too."""
-    ids = open_members.select(F.col("id").alias("doc_id")).distinct()
-    hashes = texts.join(ids, "doc_id").mapInArrow(_exploded(size), "doc_id long, hash long")
-    alone = hashes.groupBy("hash").agg(F.count("*").alias("times"), F.min("doc_id").alias("id")).where("times = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    return open_members.join(alone, "id", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+def _crowded_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int, crowded: int, allowed: F.Column) -> DataFrame:
+    """(a, n_a, b, n_b): the pairs of crowded buckets that can be linked.
+
+    Shingles that at most `crowded` of these documents have are rare. Two documents share at most as many shingles as the one with
+    fewer others has of those, and what they share of rare ones. So pairs that share no rare shingle are judged by their
+    numbers of others alone, and those that do are found, with how many, by a join on rare shingles.
+    """
+    nodes = members.select("id", "n", "part").distinct()
+    hashes = cut(texts.join(nodes.select(F.col("id").alias("doc_id")), "doc_id").mapInArrow(_exploded(size), "doc_id long, hash long").select(F.col("doc_id").alias("id"), "hash").distinct())
+    rare = cut(hashes.join(hashes.groupBy("hash").agg(F.count("*").alias("times")).where(F.col("times") <= crowded), "hash"))
+    nodes = cut(nodes.join(rare.groupBy("id").agg(F.count("*").alias("rare")), "id", "left").select("id", "n", "part", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("others")))
+
+    def enough(shared: F.Column) -> F.Column:
+        return F.lit(100) * shared >= F.lit(percent) * (F.col("x.n") + F.col("y.n") - shared)
+
+    others = F.least("x.others", "y.others")
+    placed = members.join(nodes.select("id", "others"), "id")
+    by_others = placed.alias("x").join(placed.alias("y"), (F.col("x.key") == F.col("y.key")) & allowed & enough(others))
+    found = by_others.select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b"))
+    twice = rare.where("times > 1").select("hash", "id")
+    sharing = twice.withColumnRenamed("id", "a").join(twice.withColumnRenamed("id", "b"), "hash").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    by_rare = sharing.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id")).where((F.col("x.part") != F.col("y.part")) & enough(F.col("shared") + others))
+    return found.unionByName(by_rare.select("a", F.col("x.n").alias("n_a"), "b", F.col("y.n").alias("n_b")))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +194,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_shared, "a long, b long, shared long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6, crowded: int = 64) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Words are what `[^\\x20\\x09-\\x0D]+` matches after A-Z are lower-cased; the set holds the distinct shingles of `size` words,
@@ -207,13 +224,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
         .join(part.select(F.col("node").alias("id"), "component"), "id", "left")
         .select("key", "id", "n", "far", F.coalesce("component", "id").alias("part"))
     )
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    still = cut(_with_common(cut(placed.join(open_keys, "key", "left_semi")), texts, size))
-    x, y = still.alias("x"), still.alias("y")
+    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
+    still = cut(placed.join(open_keys, "key"))
     reach = 1 - percent / 100 + 1e-9
-    most = F.least("x.common", "y.common")
-    allowed = (F.col("x.part") < F.col("y.part")) & (F.abs(F.col("x.far") - F.col("y.far")) <= reach) & (F.lit(100) * most >= F.lit(percent) * (F.col("x.n") + F.col("y.n") - most))
-    rest = cut(x.join(y, (F.col("x.key") == F.col("y.key")) & allowed).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.when(F.col("x.id") < F.col("y.id"), F.col("x.n")).otherwise(F.col("y.n")).alias("n_a"), F.when(F.col("x.id") < F.col("y.id"), F.col("y.n")).otherwise(F.col("x.n")).alias("n_b")).distinct())
+    allowed = (F.col("x.part") < F.col("y.part")) & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
+    sizes = F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")
+    few = still.where(F.col("size") <= crowded)
+    rest = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & allowed & sizes).select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b"))
+    many = still.where(F.col("size") > crowded)
+    if not many.isEmpty():
+        rest = rest.unionByName(_crowded_pairs(many, texts, size, percent, crowded, allowed))
+    turned = F.col("a") > F.col("b")
+    ends = {"a": F.least("a", "b"), "b": F.greatest("a", "b"), "n_a": F.when(turned, F.col("n_b")).otherwise(F.col("n_a")), "n_b": F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))}
+    rest = cut(rest.select(*(c.alias(name) for name, c in ends.items())).distinct())
     more = cut(_checked(rest.select("a", "b"), texts, size).join(rest, ["a", "b"]).where(linked).select("a", "b"))
     if not more.isEmpty():
         part = connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
