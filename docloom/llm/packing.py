@@ -24,41 +24,78 @@ from pyspark.sql import functions as F
 from docloom.llm.common import cut, id_and_text, pieces
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_held: dict[str, tuple] = {}
+_held: dict[str, WordIds] = {}
 
 
-def _tokenizer(path: str):
-    import os
+class WordIds:
+    """The ids of words, worked out once in a Python worker; at most `most_held` words are kept.
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    The tokenizer drops white space and lets no token cross it, so the ids of a text are those of its chunks between ASCII
+    spaces and line ends. A chunk of letters or digits and then stops, commas or exclamation marks has the ids of its two
+    parts. Words of letters only are one pre-token each, whose last token is marked in the vocabulary; so many of them are
+    encoded as one text and told apart by that mark. Texts of Latin-1 characters are lower-cased first, as the tokenizer would.
+    """
 
+    def __init__(self, path: str, most_held: int = 600_000):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        words = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(words.values()) + 1, dtype=bool)
+        self.last[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+        self.most = most_held
+
+    def _learn(self, words: set[str]) -> None:
+        fresh = words.difference(self.words)
+        if len(self.words) + len(fresh) > self.most:
+            self.words = {"": b""}
+            fresh = words.difference(self.words)
+        plain = [w for w in fresh if w.isalpha() and w.lower().isalpha()]
+        for i in range(0, len(plain), 10_000):
+            part = plain[i : i + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) == len(part):
+                raw = ids.tobytes()
+                self.words.update(zip(part, (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))))
+        rest = [w for w in fresh if w not in self.words]
+        for i in range(0, len(rest), 10_000):
+            part = rest[i : i + 10_000]
+            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.words[word] = np.array(got.ids, dtype="<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        chunked = [_lowered(t).replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
+        parts = {}
+        for chunk in set().union(*chunked):
+            word = chunk.rstrip(".,!")
+            parts[chunk] = (word, chunk[len(word) :]) if word and len(word) < len(chunk) and (word[-1].lower().isalpha() or word[-1] in "0123456789") else (chunk, "")
+        self._learn({w for pair in parts.values() for w in pair})
+        held = self.words
+        ids = {chunk: held[word] + held[rest] for chunk, (word, rest) in parts.items()}
+        return [b"".join(map(ids.__getitem__, chunks)) for chunks in chunked]
+
+
+def _lowered(text: str) -> str:
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
+
+
+def token_ids(texts: list[str], path: str) -> list[bytes]:
     if path not in _held:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         _held.clear()
-        _held[path] = tokenizer, {"": b""}
-    return _held[path]
-
-
-def token_ids(texts: list[str], path: str, most_held: int = 400_000) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers.
-
-    The tokenizer drops white space and never lets a token cross it, so the ids of a text are those of its chunks between
-    ASCII spaces and line ends; chunks are looked up in a bounded cache that a Python worker keeps from task to task.
-    """
-    tokenizer, held = _tokenizer(path)
-    chunked = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-    missing = list(set().union(*chunked).difference(held))
-    if len(held) + len(missing) > most_held:
-        held.clear()
-        held[""] = b""
-        missing = list(set().union(*chunked).difference(held))
-    for i in range(0, len(missing), 10_000):
-        part = missing[i : i + 10_000]
-        for chunk, got in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-            held[chunk] = np.array(got.ids, dtype="<u4").tobytes()
-    return [b"".join(map(held.__getitem__, chunks)) for chunks in chunked]
+        _held[path] = WordIds(path)
+    return _held[path].encode(texts)
 
 
 def _cut_up(path: str, length: int, end_id: int):
