@@ -22,17 +22,19 @@ def hashed_vector(text: Column, dim: int = 64) -> Column:
 
 def top_k(base: DataFrame, queries: DataFrame, k: int, most_queries: int = 4096) -> DataFrame:
     """(query_id, rank, id, score): the k rows of base (id, vec) with the greatest dot product with each query (query_id, vec), ties to the
-    smaller id. Queries go to the tasks in blocks of `most_queries`, which bounds what is broadcast; each task keeps k rows a query."""
+    smaller id. Queries go to the tasks in blocks of about `most_queries`, dealt by hash, which bounds what is broadcast; each task keeps k rows a query."""
     spark = base.sparkSession
     blocks = -(-queries.count() // most_queries)
     parts = []
     for block in range(max(blocks, 1)):
         some = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(max(blocks, 1))) == block).toPandas()
+        if not len(some):
+            continue
         ids = some["query_id"].to_numpy(dtype=np.int64)
         sent = spark.sparkContext.broadcast((ids, np.array(some["vec"].tolist(), dtype=np.float64).reshape(len(ids), -1)))
         parts.append(base.select("id", "vec").mapInPandas(_best(sent, k), "query_id long, id long, score double"))
-    found = parts[0]
-    for part in parts[1:]:
+    found = spark.createDataFrame([], "query_id long, id long, score double")
+    for part in parts:
         found = found.unionByName(part)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")

@@ -122,8 +122,8 @@ def with_(ctes: str, select: str) -> str:
 
 
 GRAPH = """
-    both AS (SELECT 'C' || o_custkey AS c, 'P' || l_partkey AS p, 'S' || l_suppkey AS s, l_returnflag <> 'R' AS ok FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
-    g0 AS (SELECT c AS src, p AS dst, 'references_section' AS edge_type, ok, 1.0::DOUBLE AS weight FROM both UNION ALL SELECT p, s, 'references_named', ok, 0.8::DOUBLE FROM both),
+    owned_by AS (SELECT 'C' || o_custkey AS c, 'P' || l_partkey AS p, 'S' || l_suppkey AS s, l_returnflag <> 'R' AS ok FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+    g0 AS (SELECT c AS src, p AS dst, 'references_section' AS edge_type, ok, 1.0::DOUBLE AS weight FROM owned_by UNION ALL SELECT p, s, 'references_named', ok, 0.8::DOUBLE FROM owned_by),
     g1 AS (SELECT src, dst, edge_type, weight, bool_or(ok) AS resolved, 'ref ' || dst AS via, CAST('0x' || substr(md5(src || '/' || dst), 1, 12) AS BIGINT) AS edge_ord FROM g0 GROUP BY src, dst, edge_type, weight),
     g2 AS (SELECT src AS node, dst AS nb, 0 AS dir, edge_ord, via, edge_type, weight FROM g1 WHERE resolved UNION ALL SELECT dst, src, 1, edge_ord, via, edge_type, weight FROM g1 WHERE resolved),
     seeds AS (SELECT c_nationkey AS query_id, 'C' || c_custkey AS node, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS pos FROM customer QUALIFY pos <= 20),
