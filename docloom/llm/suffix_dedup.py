@@ -6,7 +6,9 @@ surrounds them; with triggers by residue, as in the usual parsing, a window migh
 the phrases. Each trigger owns a run of consecutive windows.
 
 Dictionary: the bytes at a trigger are its key. Only triggers whose key occurs at least twice in the corpus can own a
-repeated window; they are found by sorting keys (28 bytes a trigger are moved, no text).
+repeated window; they are found by sorting keys (30 bytes a trigger are moved, no text). A key that occurs twice in one batch of
+texts is known to repeat: one of its triggers tells the other batches, the rest get a salt, so that a very frequent key
+is never one task's.
 
 Order: of those triggers, the surroundings that their windows reach are dealt by key. Sorted by what follows the
 trigger, they stand in the order of suffixes of the parse; sorted by what precedes it, read backwards, in the order of the phrase
@@ -77,7 +79,10 @@ def _parsed(length: int):
             flat, ends = bytes_of(batch.column("text"))
             text, first, owner, count, key = triggers(flat, ends, length)
             at = pa.array(text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("mark").take(at), pa.array(first - ends[text], pa.int32()), pa.array(owner - first, pa.int16()), pa.array(count, pa.int16()), pa.array(key)], ["doc", "mark", "first", "lead", "windows", "key"])
+            _, one, which, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            salt = np.where(times[which] > 1, 1 + np.arange(len(key)) % 32_000, 0)
+            salt[one[times > 1]] = -1
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("mark").take(at), pa.array(first - ends[text], pa.int32()), pa.array(owner - first, pa.int16()), pa.array(count, pa.int16()), pa.array(key), pa.array(salt, pa.int16())], ["doc", "mark", "first", "lead", "windows", "key", "salt"])
 
     return run
 
@@ -205,9 +210,9 @@ def repeated_runs(docs: DataFrame, length: int = 200) -> DataFrame:
         raise ValueError(f"repeated strings must have {GRAM} bytes at least")
     n = shuffle_partitions(docs.sparkSession)
     whole = _identified(docs)
-    parsed = whole.select("doc", "mark", "text").mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long")
-    same = Window.partitionBy("key").orderBy("doc", "first")
-    again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("_before is not null or _after is not null")
+    parsed = whole.select("doc", "mark", "text").mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long, salt short")
+    same = Window.partitionBy("key", F.greatest("salt", F.lit(0))).orderBy("doc", "first")
+    again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("salt <> 0 or _before is not null or _after is not null")
     runs = again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs"))
     # all columns go on, so that this join and that of the result share one exchange of the texts
     around = whole.join(runs, ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs").mapInArrow(_surroundings(length), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
