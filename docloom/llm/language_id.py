@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from docloom.llm.common import pieces
 
 UNKNOWN = "und"
+#: Bytes of text that are scored at a time; the arrays made of them are about 50 times as large.
+PIECE = 1 << 20
 _letters: list[np.ndarray] = []
 
 
@@ -49,7 +51,7 @@ def features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _counted(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             langs = batch.column("lang").to_pylist()
             buckets, counts = features(batch.column("text").to_pylist(), bits)
             ends = np.cumsum(counts)
@@ -94,7 +96,7 @@ def _scored(model):
         langs, matrix = model.value
         bits = (matrix.shape[1] - 1).bit_length() - 1
         log = matrix[:, :-1].astype(np.float32)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             buckets, counts = features(batch.column("text").to_pylist(), bits)
             some = np.flatnonzero(counts)
             best, score = np.full(len(counts), -1), np.zeros(len(counts))
@@ -132,7 +134,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, **parameters) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _scored(sent)
-        for batch in batches:
+        for batch in pieces(batches, "text", PIECE):
             text = pa.array([t or "" for t in batch.column("text").to_pylist()], pa.string())
             none = pa.nulls(batch.num_rows, pa.int64())
             told = list(judge(iter([pa.RecordBatch.from_arrays([none, pa.nulls(batch.num_rows, pa.bool_()), text], ["doc_id", "held_out", "text"])])))
