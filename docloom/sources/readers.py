@@ -32,7 +32,7 @@ def chunk_directory(spark: SparkSession, path: str, collection_id: int = 0) -> D
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.element_at(F.split("path", "/"), -1)
     suffix = F.lower(F.regexp_extract(name, r"(?<=.)(\.[^.]*)$", 1))
-    return rows.where(suffix.isin(CHUNK_SUFFIXES)).select(F.lit(collection_id).cast("long").alias("collection_id"), F.url_decode("path").alias("path"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    return rows.where(suffix.isin(CHUNK_SUFFIXES)).select(F.lit(collection_id).cast("long").alias("collection_id"), F.url_decode("path").alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
 
 
 def converted(rows: DataFrame, convert: Callable[[bytes], str] | None = None) -> DataFrame:
