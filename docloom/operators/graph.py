@@ -6,6 +6,8 @@ node, pos (order), score.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,11 +109,20 @@ def fused(seeds: DataFrame, claims: DataFrame | None, hits: DataFrame, k: int =
     return kept.select("query_id", "rank", "chunk_id", "source", "hop", F.round("score", 4).alias("score"), "via", "edge_type", "text", "n_claims")
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a checkpoint in spark.checkpoint.dir; a temporary folder only where none is set."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="docloom-checkpoint-"))
+    return df.checkpoint()
+
+
 def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """(node, community): the smallest node within `rounds` steps along undirected edges (a, b). A deterministic stand-in for clustering."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    """(node, community): the smallest node within `rounds` steps along undirected edges (a, b). A deterministic stand-in for clustering.
+    Every round reads the labels twice, so each is checkpointed; else the plan would double with each."""
+    both = _cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = both.select(F.col("a").alias("node"), F.col("a").alias("community")).distinct()
     for _ in range(rounds):
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("community").alias("near"))
-        labels = labels.join(seen, "node", "left").select("node", F.least("community", F.coalesce("near", "community")).alias("community"))
+        labels = _cut(labels.join(seen, "node", "left").select("node", F.least("community", F.coalesce("near", "community")).alias("community")))
     return labels

@@ -397,6 +397,29 @@ def community_reports(spark, sf_dir):
     return entities.community_reports(graph.label_propagation(edges, rounds=3), edges)
 
 
+_WHOLE_COMMUNITIES = "e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), c0 AS (SELECT DISTINCT a AS node, a AS c FROM u)," + "".join(
+    f" c{i + 1} AS (SELECT l.node, least(l.c, min(n.c)) AS c FROM c{i} l JOIN u ON u.a = l.node JOIN c{i} n ON n.node = u.b GROUP BY l.node, l.c)," for i in range(5)
+)
+
+
+def _all_part_suppliers(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b")).distinct()
+
+
+@query(S.with_(_WHOLE_COMMUNITIES, "SELECT node, c AS community FROM c5"))
+def communities_whole(spark, sf_dir):
+    """As communities_min_label, over the edges of all quantities and with the operator's own number of rounds."""
+    return graph.label_propagation(_all_part_suppliers(spark, sf_dir))
+
+
+@query(S.with_(_WHOLE_COMMUNITIES, """SELECT s.community, s.size, coalesce(i.n, 0) AS n_edges, 'Community ' || s.community || ' has ' || s.size || ' members and ' || coalesce(i.n, 0) || ' relationships.' AS report
+    FROM (SELECT c AS community, count(*) AS size FROM c5 GROUP BY c) s LEFT JOIN (SELECT x.c AS community, count(*) AS n FROM e JOIN c5 x ON x.node = e.a JOIN c5 y ON y.node = e.b AND x.c = y.c GROUP BY x.c) i ON s.community = i.community"""))
+def community_reports_whole(spark, sf_dir):
+    """As community_reports, over the communities and edges of communities_whole."""
+    edges = _all_part_suppliers(spark, sf_dir)
+    return entities.community_reports(graph.label_propagation(edges), edges)
+
+
 @query("""SELECT p_brand AS title, string_agg(description, ' ' ORDER BY ord) AS description FROM (SELECT p_brand, p_type AS description, min(p_partkey) AS ord FROM part GROUP BY p_brand, p_type QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY min(p_partkey)) <= 5) GROUP BY p_brand""")
 def described_entities(spark, sf_dir):
     return entities.described(table(spark, sf_dir, "part").select(F.col("p_brand").alias("title"), F.col("p_partkey").alias("ord"), F.col("p_type").alias("description")))

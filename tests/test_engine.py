@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.operators import chunking, entities, graph, markdown, vectors, xref
+from docloom.plans import catalogue
 from docloom.plans import knowledge_base as plans
 from docloom.sources import readers
 
@@ -277,3 +278,21 @@ def test_streaming_ingest(spark, tmp_path):
     (tmp_path / "in" / "two.md").write_text(SPEC, encoding="utf-8")
     stream_chunks(spark, *args).awaitTermination(120)
     assert spark.read.parquet(args[1]).groupBy("doc_id").count().count() == 2
+
+
+def test_communities_of_all_edges(spark):
+    sf = "/root/testdata/sf0.001"
+    edges = {(r.l_partkey, r.l_suppkey + 1000000) for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_partkey", "l_suppkey").collect()}
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for node in near:
+        reached = {node}
+        for _ in range(5):
+            reached |= {x for n in reached for x in near[n]}
+        want[node] = min(reached)
+    assert {r.node: r.community for r in catalogue.communities_whole(spark, sf).collect()} == want
+    got = catalogue.community_reports_whole(spark, sf).collect()
+    assert sum(r.size for r in got) == len(near) and sum(r.n_edges for r in got) == sum(want[a] == want[b] for a, b in edges)
