@@ -367,6 +367,15 @@ def vector_topk(spark, sf_dir):
     return vectors.top_k(base, asked, 10).withColumn("score", F.round("score", 6))
 
 
+@query("""SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS INTEGER) AS rank, b.vec_id AS id,
+    round(list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings b WHERE q.vec_id % 20 = 0 QUALIFY rank <= 10""")
+def vector_topk_every20(spark, sf_dir):
+    """As vector_topk, asked for every row whose id is divisible by 20."""
+    base = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    asked = base.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+    return vectors.top_k(base, asked, 10).withColumn("score", F.round("score", 6))
+
+
 @query("SELECT x.l_partkey AS a, y.l_partkey AS b, count(*) AS weight FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) x JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey GROUP BY 1, 2")
 def cooccurrence_graph(spark, sf_dir):
     return entities.co_occurrence(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("group_id"), F.col("l_partkey").alias("item")))

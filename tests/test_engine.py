@@ -296,3 +296,10 @@ def test_communities_of_all_edges(spark):
     assert {r.node: r.community for r in catalogue.communities_whole(spark, sf).collect()} == want
     got = catalogue.community_reports_whole(spark, sf).collect()
     assert sum(r.size for r in got) == len(near) and sum(r.n_edges for r in got) == sum(want[a] == want[b] for a, b in edges)
+
+
+def test_every_twentieth_row_is_asked(spark):
+    sf = "/root/testdata/sf0.001"
+    ids = {r.vec_id for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id").collect()}
+    got = catalogue.vector_topk_every20(spark, sf).collect()
+    assert {r.query_id for r in got} == {i for i in ids if i % 20 == 0} and all(sum(r.query_id == q for r in got) == 10 for q in (0, 20, 480))
