@@ -42,6 +42,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_cleared(df: DataFrame) -> DataFrame:
+    """As `cut`; the shuffle files that led to the checkpoint go at once, not when the driver happens to collect its garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return cut(df.select("*"))  # a new frame, as a frame holds to what was set when it was made
+    finally:
+        conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

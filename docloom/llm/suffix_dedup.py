@@ -18,6 +18,10 @@ length - x bytes. This is exact, needs no window to be hashed or moved on its ow
 triggers, cut off at the window's length, instead of over the whole corpus.
 
 Surroundings that are equal in every byte are merged within a task before they are dealt, with a list of where they stand.
+
+Keys of more than `frequent` triggers are not dealt whole, as their surroundings would all be one task's. Each of their windows is dealt
+by its own 128-bit BLAKE2 digest instead. A window that occurs twice in one batch of texts is known to repeat, and only
+tells the other batches so; of every digest, a batch sends one row at most.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import bytes_of, mixed, pieces, shuffle_partitions
+from docloom.llm.common import bytes_of, cut_and_cleared, mixed, pieces, shuffle_partitions
 
 GRAM = 64
 _BYTE = mixed(np.arange(256, dtype=np.uint64), 11)
@@ -87,13 +91,18 @@ def _parsed(length: int):
     return run
 
 
-def _surroundings(length: int):
+def _surroundings(length: int, sent):
+    """The surroundings of all triggers whose key is not frequent."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = set(sent.value)
         for batch in pieces(batches, "text"):
             found: dict[tuple, list] = {}
             for doc, mark, text, runs in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), batch.column("runs")):
                 raw, values = text.as_buffer().to_pybytes(), runs.values
                 for first, lead, windows, key in zip(*(values.field(i).to_pylist() for i in range(4))):
+                    if key in frequent:
+                        continue
                     found.setdefault((key, lead, windows, raw[first : first + windows - 1 + length]), []).append((doc, mark, first))
             places = [p for held in found.values() for p in held]
             ends = np.concatenate([[0], np.cumsum([len(held) for held in found.values()])]).astype(np.int32)
@@ -104,6 +113,49 @@ def _surroundings(length: int):
     return run
 
 
+def _digests(length: int, sent):
+    """The windows of triggers whose key is frequent: those that repeat within a batch as runs without a digest; the others one by one, by
+    digest; and for each digest of the first kind a row without a place. The salt deals out rows without a digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = set(sent.value)
+        for batch in pieces(batches, "text", 1 << 20):
+            found: dict[bytes, list] = {}
+            for doc, mark, text, runs in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), batch.column("runs")):
+                raw, values = text.as_buffer().to_pybytes(), runs.values
+                for first, windows, key in zip(*(values.field(i).to_pylist() for i in (0, 2, 3))):
+                    if key in frequent:
+                        found.setdefault(raw[first : first + windows - 1 + length], []).append((doc, mark, first))
+            if not found:
+                continue
+            places = list(found.values())
+            size = np.array([len(around) - length + 1 for around in found])
+            sums = b"".join(hashlib.blake2b(around[i : i + length], digest_size=16).digest() for around in found for i in range(len(around) - length + 1))
+            halves = np.frombuffer(sums, dtype="<u8").reshape(-1, 2)
+            order = np.lexsort((halves[:, 1], halves[:, 0]))
+            new = np.concatenate([[True], (halves[order][1:] != halves[order][:-1]).any(axis=1)])
+            which = np.empty(len(order), dtype=np.int64)
+            which[order] = np.cumsum(new) - 1
+            owner = np.repeat(np.arange(len(places)), size)
+            within = np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+            times = np.bincount(which, np.array([len(p) for p in places])[owner])
+            again = times[which] > 1
+            rows = [(sums[16 * i : 16 * i + 16], 0, None, None, None, None) for i in order[new][times > 1].tolist()]
+            for i in np.flatnonzero(~again).tolist():
+                doc, mark, first = places[owner[i]][0]
+                at = first + int(within[i])
+                rows.append((sums[16 * i : 16 * i + 16], 0, doc, mark, at, at))
+            low = np.flatnonzero(again & ((within == 0) | ~np.roll(again, 1)))
+            high = np.flatnonzero(again & ((within == size[owner] - 1) | ~np.roll(again, -1)))
+            for i, j in zip(low.tolist(), high.tolist()):
+                for doc, mark, first in places[owner[i]]:
+                    rows.append((None, 1 + len(rows) % 32_000, doc, mark, first + int(within[i]), first + int(within[j])))
+            kinds = (pa.binary(), pa.int16(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["digest", "salt", "doc", "mark", "low", "high"])
+
+    return run
+
+
 def _padded(flat: np.ndarray, start: np.ndarray, size: np.ndarray, width: int, step: int) -> np.ndarray:
     """A row of `width` bytes for each stretch of `size` bytes from `start` on (forwards or backwards), filled up with zeros."""
     at = np.arange(width)
@@ -204,7 +256,7 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), _mark(text).alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
-def repeated_runs(docs: DataFrame, length: int = 200) -> DataFrame:
+def repeated_runs(docs: DataFrame, length: int = 200, frequent: int = 2_000) -> DataFrame:
     """(doc, mark, runs): for each document with repeated strings, the inclusive runs (low, high) of places where one begins."""
     if length < GRAM:
         raise ValueError(f"repeated strings must have {GRAM} bytes at least")
@@ -213,14 +265,22 @@ def repeated_runs(docs: DataFrame, length: int = 200) -> DataFrame:
     parsed = whole.select("doc", "mark", "text").mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long, salt short")
     same = Window.partitionBy("key", F.greatest("salt", F.lit(0))).orderBy("doc", "first")
     again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("salt <> 0 or _before is not null or _after is not null")
-    runs = again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs"))
+    runs = cut_and_cleared(again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs")))
+    many = runs.select(F.explode("runs.key").alias("key")).groupBy("key").count().where(F.col("count") > frequent).select("key").toPandas()["key"].tolist()
+    sent = docs.sparkSession.sparkContext.broadcast(many)
     # all columns go on, so that this join and that of the result share one exchange of the texts
-    around = whole.join(runs, ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs").mapInArrow(_surroundings(length), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
+    joined = whole.join(runs, ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs")
+    around = joined.mapInArrow(_surroundings(length, sent), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
     found = around.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "doc long, mark int, low long, high long")
+    if many:
+        dealt = joined.mapInArrow(_digests(length, sent), "digest binary, salt short, doc long, mark int, low long, high long")
+        same = Window.partitionBy("digest", "salt").orderBy("doc", "low")
+        known = dealt.withColumns({"_before": F.lag("salt").over(same), "_after": F.lead("salt").over(same)})
+        found = found.unionByName(known.where("doc is not null and (digest is null or _before is not null or _after is not null)").select("doc", "mark", "low", "high"))
     return found.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, frequent: int = 2_000) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
 
     Removes every byte that lies in a string of `length` bytes that also begins elsewhere: in another row, or elsewhere in the
@@ -238,7 +298,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([o[i] for o in out], t) for i, t in enumerate(kinds))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = _identified(docs).join(repeated_runs(docs, length), ["doc", "mark"], "left")
+    joined = _identified(docs).join(repeated_runs(docs, length, frequent), ["doc", "mark"], "left")
     return joined.select("doc", "mark", "doc_id", "text", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

@@ -138,6 +138,35 @@ def test_suffix_dedup(docs, empty):
     assert left.columns == docs.columns and left.count() == len(ROWS) and all(PASSAGE not in (r.text or "") for r in left.collect())
 
 
+def test_no_frequent_trigger_is_dealt_whole(spark, monkeypatch):
+    rng = random.Random(8)
+    junk = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    footer, passage, tail = junk(190), junk(260), junk(12)
+    texts = [junk(150) + footer + junk(150) for _ in range(40)] + [junk(99) + footer + tail + junk(9) for _ in range(9)] + [junk(50) + passage + junk(i) for i in range(20)] + [passage * 2] * 6
+    count = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    want = {}
+    for doc, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for i in range(len(t) - 199):
+            if count[t[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        want[doc] = hashlib.sha256(bytes(x for x, g in zip(t.encode(), gone) if not g)).hexdigest()
+    real = suffix_dedup._repeats
+
+    def watched(length):
+        def run(batches):
+            held = list(batches)
+            most = Counter(k for b in held for k in b.column("key").to_pylist()).most_common(1)
+            assert not most or most[0][1] <= 5, "a frequent key came to one task"
+            yield from real(length)(iter(held))
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_repeats", watched)
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.kept_sha256 for r in suffix_dedup.remove_repeats(given, frequent=5).collect()} == want
+
+
 def test_bpe(docs, empty):
     import tiktoken
 
