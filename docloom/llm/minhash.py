@@ -6,9 +6,11 @@ bijections of the hash space. Coordinates are folded into bands. The numbers of
 pair just at it shares a band with a probability of at least 1 - `miss`.
 
 Equal sets become one class at once. Within a band's bucket, pairs are not all emitted: first every member is checked against the
-bucket's smallest member, its hub. Of the other pairs, only those are checked that (1) the links so far leave in different
-components, (2) the triangle inequality of the Jaccard distance over their exact distances to the hub allows, and (3) sizes
-allow: those of the sets, or in buckets with more than `crowded` such members, of the sets without rare shingles (see
+bucket's smallest member, its hub. While a bucket's members lie in several components, further hubs follow, `hub_rounds` in all: each is the
+member nearest to the hubs before it, as in a group of variants of one text that is the one with the fewest changes, to
+which most of the group links. Of the other pairs, only those are checked that (1) the links so far leave in different
+components, (2) the triangle inequality of the Jaccard distance over their exact distances to the first hub allows, and (3) sizes
+allow: those of the sets, or in buckets with more than `small` such members, of the sets without rare shingles (see
 _crowded_pairs). What (1) to (3) leave out cannot change a component, so no link between components is lost.
 """
 
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import bytes_of, cut, id_and_text, mixed, pieces
+from docloom.llm.common import bytes_of, cut, cut_and_cleared, id_and_text, mixed, pieces
 from docloom.llm.components import connected_components
 
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -149,13 +151,14 @@ def _exploded(size: int):
 
 
 def _crowded_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int, crowded: int, allowed: F.Column) -> DataFrame:
-    """(a, n_a, b, n_b): the pairs of crowded buckets that can be linked.
+    """(a, b): the pairs of open buckets that can be linked.
 
     Shingles that at most `crowded` of these documents have are rare. Two documents share at most as many shingles as the one with
     fewer others has of those, and what they share of rare ones. So pairs that share no rare shingle are judged by their
-    numbers of others alone, and those that do are found, with how many, by a join on rare shingles.
+    numbers of others alone, and those that do are found, with how many, by a join on rare shingles. A document whose
+    others are less than `percent` of its set can be linked by rare shingles only, so it never meets its bucket.
     """
-    nodes = members.select("id", "n", "part").distinct()
+    nodes = members.groupBy("id", "part").agg(F.max("n").alias("n"))
     hashes = cut(texts.join(nodes.select(F.col("id").alias("doc_id")), "doc_id").mapInArrow(_exploded(size), "doc_id long, hash long").select(F.col("doc_id").alias("id"), "hash").distinct())
     rare = cut(hashes.join(hashes.groupBy("hash").agg(F.count("*").alias("times")).where(F.col("times") <= crowded), "hash"))
     nodes = cut(nodes.join(rare.groupBy("id").agg(F.count("*").alias("rare")), "id", "left").select("id", "n", "part", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("others")))
@@ -164,37 +167,56 @@ def _crowded_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int
         return F.lit(100) * shared >= F.lit(percent) * (F.col("x.n") + F.col("y.n") - shared)
 
     others = F.least("x.others", "y.others")
-    placed = members.join(nodes.select("id", "others"), "id")
+    placed = members.drop("size").join(nodes.select("id", "others"), "id").where(F.lit(100) * F.col("others") >= F.lit(percent) * F.col("n"))
+    split = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    placed = cut(placed.join(split, "key"))
     by_others = placed.alias("x").join(placed.alias("y"), (F.col("x.key") == F.col("y.key")) & allowed & enough(others))
-    found = by_others.select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b"))
-    twice = rare.where("times > 1").select("hash", "id")
-    sharing = twice.withColumnRenamed("id", "a").join(twice.withColumnRenamed("id", "b"), "hash").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    by_rare = sharing.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id")).where((F.col("x.part") != F.col("y.part")) & enough(F.col("shared") + others))
-    return found.unionByName(by_rare.select("a", F.col("x.n").alias("n_a"), "b", F.col("y.n").alias("n_b")))
+    found = by_others.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    twice = rare.where("times > 1").select("hash", "id").join(nodes.select("id", "part"), "id")
+    sharing = twice.alias("x").join(twice.alias("y"), (F.col("x.hash") == F.col("y.hash")) & (F.col("x.part") < F.col("y.part"))).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("shared"))
+    by_rare = sharing.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id")).where(enough(F.col("shared") + others))
+    return found.unionByName(by_rare.select("a", "b"))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        shared = []
+        told = []
         for left, right in zip(batch.column("hashes_a"), batch.column("hashes_b")):
             x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (left, right))
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(y, x)
-            shared.append(int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64())], ["a", "b", "shared"])
+            few, many = (x, y) if len(x) <= len(y) else (y, x)
+            at = np.searchsorted(many, few)
+            told.append((int(np.count_nonzero(many[np.minimum(at, len(many) - 1)] == few)), len(x), len(y)))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array([t[i] for t in told], pa.int64()) for i in range(3))], ["a", "b", "shared", "n_a", "n_b"])
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b, shared) for pairs (a, b) of doc_ids: how many shingles the full sets share. Only texts that occur in pairs are moved."""
+    """(a, b, shared, n_a, n_b) for pairs (a, b) of doc_ids: how many shingles the full sets share and have. Only texts that occur in pairs are moved.
+
+    The sets are written once before they are joined: both joins read them, and as nothing but a join follows their exchange, Spark can
+    split the pairs of a hub that has very many.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = texts.join(wanted, "doc_id").mapInArrow(_sets(size), "doc_id long, hashes binary")
-    one = sets.groupBy("doc_id").agg(F.max("hashes").alias("hashes"))
+    one = cut_and_cleared(sets.groupBy("doc_id").agg(F.max(F.struct(F.length("hashes").alias("n"), "hashes")).alias("most")).select("doc_id", "most.hashes"))
     first = pairs.join(one.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hashes_b")), "b")
     both = first.join(one.select(F.col("doc_id").alias("a"), F.col("hashes").alias("hashes_a")), "a")
-    return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_shared, "a long, b long, shared long")
+    return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_shared, "a long, b long, shared long, n_a long, n_b long")
+
+
+def _open(placed: DataFrame, part: DataFrame) -> DataFrame:
+    """The members (key, id, n, far, nearest) of buckets whose members lie in several components, with part and the bucket's size."""
+    placed = placed.join(part.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
+    return cut(placed.join(open_keys, "key"))
+
 
+def _joined(part: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) when links (a, b) are added."""
+    links = cut(links.select("a", "b"))
+    return part if links.isEmpty() else connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6, crowded: int = 64) -> DataFrame:
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6, crowded: int = 64, small: int = 8, hub_rounds: int = 2) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Words are what `[^\\x20\\x09-\\x0D]+` matches after A-Z are lower-cased; the set holds the distinct shingles of `size` words,
@@ -209,37 +231,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
     classes = cut(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")))
 
     entries = classes.select("id", "n", F.explode("keys").alias("key"))
-    hubs = entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1").select("key", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
-    members = cut(entries.join(hubs, "key").where("id <> hub").select("key", "id", "n", "hub", "hub_n"))
-    pairs = members.groupBy(F.col("hub").alias("a"), F.col("id").alias("b")).agg(F.first("hub_n").alias("n_a"), F.first("n").alias("n_b"))
-    linked = (F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("linked")
-    spokes = cut(_checked(pairs.select("a", "b"), texts, size).join(pairs, ["a", "b"]).select("a", "b", "shared", "n_a", "n_b", linked))
-    links = spokes.where("linked").select("a", "b")
-    part = connected_components(links)
+    heads = entries.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).where("members > 1").select("key", "hub")
+    members = cut(entries.join(heads, "key").where("id <> hub").select("key", "id", "n", "hub"))
+    jaccard = F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    linked = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    spokes = cut(_checked(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts, size))
+    part = connected_components(spokes.where(linked).select("a", "b"))
 
     # what the spokes leave open within a bucket
-    far = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    placed = (
-        members.join(spokes.select(F.col("a").alias("hub"), F.col("b").alias("id"), far.alias("far")), ["hub", "id"])
-        .join(part.select(F.col("node").alias("id"), "component"), "id", "left")
-        .select("key", "id", "n", "far", F.coalesce("component", "id").alias("part"))
-    )
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
-    still = cut(placed.join(open_keys, "key"))
+    far = spokes.select(F.col("a").alias("hub"), F.col("b").alias("id"), (1 - jaccard).alias("far"))
+    still = _open(members.join(far, ["hub", "id"]).select("key", "id", "n", "far", F.col("far").alias("nearest")), part)
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    for _ in range(hub_rounds - 1):
+        heads = still.groupBy("key").agg(F.min(F.struct("nearest", "id", "part")).alias("hub")).select("key", F.col("hub.id").alias("a"), F.col("hub.part").alias("hub_part"))
+        others = still.drop("size").join(heads, "key").withColumn("b", F.col("id")).where("a <> b")
+        asked = cut(others.where("part <> hub_part").select(*ends).distinct())
+        if asked.isEmpty():
+            break
+        told = cut(_checked(asked, texts, size))
+        part = _joined(part, told.where(linked))
+        now = others.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")}).join(told.select("a", "b", (1 - jaccard).alias("far_now")), ["a", "b"], "left")
+        still = _open(now.select("key", "id", "n", "far", F.least("nearest", "far_now").alias("nearest")), part)
+
     reach = 1 - percent / 100 + 1e-9
     allowed = (F.col("x.part") < F.col("y.part")) & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
     sizes = F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")
-    few = still.where(F.col("size") <= crowded)
-    rest = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & allowed & sizes).select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b"))
-    many = still.where(F.col("size") > crowded)
+    few, many = still.where(F.col("size") <= small), still.where(F.col("size") > small)
+    rest = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & allowed & sizes).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     if not many.isEmpty():
         rest = rest.unionByName(_crowded_pairs(many, texts, size, percent, crowded, allowed))
-    turned = F.col("a") > F.col("b")
-    ends = {"a": F.least("a", "b"), "b": F.greatest("a", "b"), "n_a": F.when(turned, F.col("n_b")).otherwise(F.col("n_a")), "n_b": F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))}
-    rest = cut(rest.select(*(c.alias(name) for name, c in ends.items())).distinct())
-    more = cut(_checked(rest.select("a", "b"), texts, size).join(rest, ["a", "b"]).where(linked).select("a", "b"))
-    if not more.isEmpty():
-        part = connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    rest = cut(rest.select(*ends).distinct())
+    part = _joined(part, _checked(rest, texts, size).where(linked))
 
     named = classes.select("digest", "id").join(part.select(F.col("node").alias("id"), "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return (
@@ -251,6 +273,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
 
 
 def keep_representatives(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of `docs`, with all their columns, but for those that a smaller doc_id of their component stands for."""
-    gone = near_duplicates(docs, **parameters).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.alias("d").join(gone, F.col("d.doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """The rows of `docs`, with all their columns whatever their names, but for those that a smaller doc_id of their component stands for.
+
+    Rows with a null doc_id, a null text or a text without words stay. Rows that repeat a doc_id stay or go together. An empty
+    table gives an empty result.
+    """
+    gone = near_duplicates(docs, **parameters).where("not kept").select("doc_id").distinct().alias("gone")
+    return docs.alias("d").join(gone, F.col("d.doc_id").cast("long") == F.col("gone.doc_id"), "left_anti")
