@@ -22,35 +22,34 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors and the driver share; a temporary one only where none is set."""
+    """The folder in spark.checkpoint.dir, which all executors and the driver share. Where none is set, a temporary one will do for
+    a session on one machine, such as those of tests; on a cluster that is an error."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     held = context.getCheckpointDir()
     if held is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-checkpoint-"))
         held = context.getCheckpointDir()
     return held
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder."""
-    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def cut_and_cleared(df: DataFrame) -> DataFrame:
-    """As `cut`; the shuffle files that led to the checkpoint go at once, not when the driver happens to collect its garbage."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name)
-    conf.set(name, "true")
+    """Cut the lineage with a checkpoint in the shared folder. The shuffle files that led to the checkpoint go at once, not when the
+    driver happens to collect its garbage."""
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
     try:
-        return cut(df.select("*"))  # a new frame, as a frame holds to what was set when it was made
+        return df.select("*").checkpoint(eager=True)  # a new frame, as a frame holds to what was set when it was made
     finally:
-        conf.set(name, before)
+        spark.conf.set(name, before)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

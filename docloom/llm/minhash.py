@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import bytes_of, cut, cut_and_cleared, id_and_text, mixed, pieces
+from docloom.llm.common import bytes_of, cut, id_and_text, mixed, pieces
 from docloom.llm.components import connected_components
 
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -197,7 +197,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = texts.join(wanted, "doc_id").mapInArrow(_sets(size), "doc_id long, hashes binary")
-    one = cut_and_cleared(sets.groupBy("doc_id").agg(F.max(F.struct(F.length("hashes").alias("n"), "hashes")).alias("most")).select("doc_id", "most.hashes"))
+    one = cut(sets.groupBy("doc_id").agg(F.max(F.struct(F.length("hashes").alias("n"), "hashes")).alias("most")).select("doc_id", "most.hashes"))
     first = pairs.join(one.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hashes_b")), "b")
     both = first.join(one.select(F.col("doc_id").alias("a"), F.col("hashes").alias("hashes_a")), "a")
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_shared, "a long, b long, shared long, n_a long, n_b long")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import bytes_of, cut_and_cleared, mixed, pieces, shuffle_partitions
+from docloom.llm.common import bytes_of, cut, mixed, pieces, shuffle_partitions
 
 GRAM = 64
 _BYTE = mixed(np.arange(256, dtype=np.uint64), 11)
@@ -265,7 +265,7 @@ def repeated_runs(docs: DataFrame, length: int = 200, frequent: int = 2_000) ->
     parsed = whole.select("doc", "mark", "text").mapInArrow(_parsed(length), "doc long, mark int, first int, lead short, windows short, key long, salt short")
     same = Window.partitionBy("key", F.greatest("salt", F.lit(0))).orderBy("doc", "first")
     again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("salt <> 0 or _before is not null or _after is not null")
-    runs = cut_and_cleared(again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs")))
+    runs = cut(again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs")))
     many = runs.select(F.explode("runs.key").alias("key")).groupBy("key").count().where(F.col("count") > frequent).select("key").toPandas()["key"].tolist()
     sent = docs.sparkSession.sparkContext.broadcast(many)
     # all columns go on, so that this join and that of the result share one exchange of the texts
