@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import ann, bpe, exact_dedup, language_id, minhash, packing, sharding, suffix_dedup, token_counts, url_filter
 
@@ -44,7 +45,7 @@ def empty(spark):
 
 
 def test_exact_dedup(docs, empty):
-    got = exact_dedup.merge_runs(docs, runs=8, fan_in=2, keep="largest").collect()
+    got = exact_dedup.merge_runs(docs, runs=8, keep="largest").collect()
     groups = {}
     for doc, text, *_ in ROWS:
         groups.setdefault(text or "", []).append(doc)
@@ -54,8 +55,24 @@ def test_exact_dedup(docs, empty):
         assert r.keep_id == max((i for i in ids if i is not None), default=None) and r.group_size == len(ids)
     assert sum(r.kept for r in got) == len(groups)
     assert exact_dedup.merge_runs(empty).count() == 0
-    one = exact_dedup.keep_one(docs, keep="largest")
-    assert one.columns == docs.columns and sorted(r.text or "" for r in one.collect()) == sorted(groups)
+    clashing = docs.withColumns({"stays": F.lit(1), "row": F.lit(2), "_kept_id": F.lit(3), "times": F.lit(4)})
+    one = exact_dedup.keep_one(clashing, keep="largest")
+    assert one.columns == clashing.columns and sorted(r.text or "" for r in one.collect()) == sorted(groups)
+    assert {r.doc_id for r in one.collect()} == {max((i for i in ids if i is not None), default=None) for ids in groups.values()}
+    assert exact_dedup.keep_one(empty).count() == 0
+
+
+def test_digest_runs_merge_in_pairs(spark):
+    """Each round halves the runs, keeps every digest once a run, and folds counts and extremes."""
+    rows = spark.createDataFrame([(r, bytes([d // 3, d % 7, d]), 5, d, 10 * r + d, 1) for r in range(8) for d in range(20) if (r + d) % 3], "run int, digest binary, length int, check long, keep_id long, group_size long")
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r.check, []).append(r.keep_id)
+    for k in range(3):
+        rows = exact_dedup._round(rows, 1 << k, F.greatest)
+        got = rows.collect()
+        assert len({(r.run, r.check) for r in got}) == len(got) and {r.run for r in got} == set(range(0, 8, 2 << k))
+    assert {r.check: (r.keep_id, r.group_size) for r in got} == {d: (max(ids), len(ids)) for d, ids in want.items()}
 
 
 def sets_of(size):
