@@ -321,6 +321,7 @@ def test_language_id(spark, docs, empty):
     say = {"en": ["the", "and", "with", "house", "this"], "de": ["und", "der", "größe", "nicht", "haus"], "fr": ["être", "les", "avec", "maison", "où"]}
     rows = [(i, " ".join(rng.choice(say[lang]) for _ in range(rng.randint(3, 30))), lang, None) for i in range(300) for lang in [rng.choice(list(say))]]
     rows += [(1000, None, "en", None), (1001, "12 !?", "en", None), (1002, "", None, None), (1003, "the house and this", None, None), (None, "die größe und der", "de", None)]
+    rows += [(1004, "これは学習していない言語の文章です", None, None), (1005, "the house and this " * 9000, None, None), rows[0], rows[0]]
     data = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
     got = language_id.identify(data).collect()
     assert len(got) == len(rows)
@@ -330,12 +331,49 @@ def test_language_id(spark, docs, empty):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95 and all(0 <= r.score <= 1 for r in got)
     by = {r.doc_id: r for r in got}
     assert [by[i].lang_pred for i in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "en", "de"] and by[1000].score == 0
-    kept = language_id.keep_identified(data)
-    assert kept.columns == data.columns and not {1000, 1001, 1002} & {r.doc_id for r in kept.collect()} and kept.count() >= 298
+    kept = language_id.keep_identified(data.withColumns({"lift": F.lit("x"), "score": F.lit(0)}))
+    assert kept.columns == [*data.columns, "lift", "score"] and Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in rows if r[0] not in (1000, 1001, 1002, 1004))
+    assert by[1004].lift < 0 < by[1003].lift and by[1005].lang_pred == "en" and language_id.keep_identified(empty).count() == 0
     assert language_id.identify(empty).count() == 0
     assert {r.lang_pred for r in language_id.identify(data.withColumn("lang", data.lang_pred)).collect()} == {"und"}  # nothing to learn from
 
 
+def test_language_posteriors_by_hand(spark):
+    """Counts, smoothing, priors, posterior and lift of a small table, by loops over single characters."""
+    import math
+
+    bits, rows = 9, [(i, t, lang) for i, (t, lang) in enumerate([("Ab ba!", "x"), ("aé", "y"), ("bbb a", "x"), ("ça é", "y"), ("zz top", "x"), ("Éa 1b", "y"), ("ab", None), ("?", "x"), ("qq", None)])]
+
+    def grams(text):
+        c = [" ", *(ch if ch.isalpha() else " " for ch in text.lower()), " "]
+        for i in range(1, len(c) - 1):
+            if c[i].isalpha():
+                pair = (ord(c[i - 1]) * 0x01000193 ^ ord(c[i]) * 0x85EBCA6B) % 2**32
+                for value, salt in ((pair, 0x1B873593), ((pair * 0xC2B2AE35 ^ ord(c[i + 1]) * 0x27D4EB2F) % 2**32, 0xCC9E2D51)):
+                    value = (value ^ value >> 15) * salt % 2**32
+                    yield (value ^ value >> 13) >> 32 - bits
+
+    learned = [(t, lang) for i, t, lang in rows if lang and zlib.crc32(str(i).encode()) % 5]
+    count = {lang: Counter(g for t, of in learned if of == lang for g in grams(t)) for lang in "xy"}
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), bits=bits).collect()}
+    for i, text, _ in rows:
+        log = {lang: sum(math.log((count[lang][g] + 0.5) / (count[lang].total() + 0.5 * 2**bits)) for g in grams(text)) for lang in "xy"}
+        post = {lang: log[lang] + math.log(sum(of == lang for _, of in learned) / len(learned)) for lang in "xy"}
+        best = max("xy", key=post.get)
+        if list(grams(text)):
+            assert got[i].lang_pred == best and abs(got[i].score - 1 / sum(math.exp(p - post[best]) for p in post.values())) < 1e-4
+            assert abs(got[i].lift - (log[best] / len(list(grams(text))) + bits * math.log(2))) < 1e-4
+    with pytest.raises(ValueError):
+        language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_languages=1)
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["the", "and", "with"]) for _ in range(9)), "en") for i in range(3000)] + [(5000 + i, " ".join(rng.choice(["und", "nicht", "der"]) for _ in range(9)), "de") for i in range(12)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=40).collect()
+    assert all(r.lang_pred == ("de" if r.doc_id >= 5000 else "en") for r in got)
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
