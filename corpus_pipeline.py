@@ -12,8 +12,8 @@ from docloom.llm.common import shared_folder, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose text has no letter, or fits no language that the model has learned with a score of 0.5."""
-    return language_id.keep_identified(docs, least=0.5)
+    """Documents go whose text has no letter, or is explained by no language that was learned (a lift of 0 at most)."""
+    return language_id.keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
