@@ -20,8 +20,12 @@ from pyspark.sql import DataFrame
 
 from docloom.llm.common import id_and_text, pieces
 
-#: Position bits of a key. Longer words are merged in stages, so that the recursion never holds more than STAGE states of them.
-BITS, STAGE = 24, 64
+#: Position bits of a key: any length of a text fits. Words of more than STAGE bytes are merged on their own, in stages of so many rounds;
+#: those of more than LONG bytes by whole ranks.
+BITS, STAGE, LONG = 32, 64, 8192
+
+#: Rows of state that a recursive query over long words may hold.
+MOST_STATES = 4_000_000
 
 MERGE = f"""
 WITH RECURSIVE state(step, k, tok) AS (
@@ -39,9 +43,38 @@ SELECT s.k >> {BITS} AS word, list(s.tok ORDER BY s.k) AS toks, any_value(s.step
 FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROUP BY 1) l ON s.k >> {BITS} = l.word AND s.step = l.step
 GROUP BY 1"""
 
+#: As MERGE, but a round contracts every pair of a word's least rank, from the left, each second one of pairs that overlap. This is what
+#: one contraction after the other does, unless a new token forms a pair of a lesser rank with a neighbour (`risky` pairs are
+#: those that rank below one of their halves): in a word where that would happen, the round contracts the leftmost pair only.
+MERGE_RANKS = f"""
+WITH RECURSIVE state(step, k, tok) AS (
+  SELECT 0, k, tok FROM seed
+  UNION ALL
+  SELECT step + 1, k - coalesce(sum(taken::INT) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT, CASE WHEN taken THEN merged ELSE tok END
+  FROM (SELECT *, coalesce(lag(taken) OVER w, false) AS gone
+        FROM (SELECT step, k, c.tok, word, merged, can AND (nth = 1 OR NOT bool_or(l.pair IS NOT NULL OR r.pair IS NOT NULL) OVER (PARTITION BY word)) AS taken
+              FROM (SELECT *, CASE WHEN lag(can, 2) OVER w THEN merged ELSE lag(tok) OVER w END AS before
+                    FROM (SELECT *, hit AND row_number() OVER (PARTITION BY word, hit, k - nth ORDER BY k) % 2 = 1 AS can
+                          FROM (SELECT *, row_number() OVER (PARTITION BY word, hit ORDER BY k) AS nth
+                                FROM (SELECT *, min(merged) OVER (PARTITION BY word) AS least, coalesce(merged = min(merged) OVER (PARTITION BY word), false) AS hit
+                                      FROM (SELECT p.*, m.tok AS merged
+                                            FROM (SELECT *, k >> {BITS} AS word, lead(tok) OVER w AS after, lead(tok, 2) OVER w AS beyond FROM state WHERE step < $steps WINDOW w AS (PARTITION BY k >> {BITS} ORDER BY k)) p
+                                            LEFT JOIN merges m ON m.pair = (p.tok::BIGINT << 32) + p.after))
+                                WHERE least IS NOT NULL))
+                    WINDOW w AS (PARTITION BY word ORDER BY k)) c
+              LEFT JOIN risky l ON can AND l.pair = (before::BIGINT << 32) + merged AND l.tok < merged
+              LEFT JOIN risky r ON can AND r.pair = (merged::BIGINT << 32) + beyond AND r.tok < merged)
+        WINDOW w AS (PARTITION BY word ORDER BY k))
+  WINDOW w AS (PARTITION BY word ORDER BY k)
+  QUALIFY NOT gone
+)
+SELECT s.k >> {BITS} AS word, list(s.tok ORDER BY s.k) AS toks, any_value(s.step) AS step
+FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROUP BY 1) l ON s.k >> {BITS} = l.word AND s.step = l.step
+GROUP BY 1"""
+
 DECODE = """
-SELECT doc, string_agg(piece, '') AS text FROM
-  (SELECT doc, place, piece FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM coded) JOIN vocabulary USING (id) ORDER BY doc, place)
+SELECT doc, string_agg(piece, '' ORDER BY place) AS text
+FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM coded) JOIN vocabulary USING (id)
 GROUP BY doc"""
 
 
@@ -55,9 +88,12 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         pairs = [(left, right, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (left := self.ranks.get(token[:i])) is not None and (right := self.ranks.get(token[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": "false"})
+        # nothing is spilled: an empty folder name switches that off, as a worker has no folder of its own to write to
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": "false", "temp_directory": ""})
         left, right, rank = (np.array(c, dtype=np.int64) for c in zip(*pairs)) if pairs else (np.zeros(0, dtype=np.int64),) * 3
-        self._table("merges", pa.table({"pair": (left << 32) + right, "tok": rank.astype(np.int32)}))
+        merges = pa.table({"pair": (left << 32) + right, "tok": rank.astype(np.int32)})
+        self._table("merges", merges)
+        self._table("risky", merges.filter(pa.array(rank < np.maximum(left, right))))
         # a token's bytes stand as characters of the same numbers, so that they aggregate as text
         self._table("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())}))
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
@@ -70,16 +106,17 @@ class Codec:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _merged(self, words: list[bytes], steps: int) -> dict[int, list[int]]:
+    def _merged(self, words: list[bytes], query: str) -> dict[int, list[int]]:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         tokens = self.byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
         out: dict[int, list[int]] = {}
         names = np.arange(len(words), dtype=np.int64)
         while len(names):
+            steps = max(1, min(STAGE, MOST_STATES // len(tokens)))
             first = np.cumsum(lengths) - lengths
             k = (np.repeat(names, lengths) << BITS) + np.arange(len(tokens)) - np.repeat(first, lengths)
             self.db.register("seed", pa.table({"k": k, "tok": tokens}))
-            got = self.db.execute(MERGE, {"steps": steps}).fetchnumpy()
+            got = self.db.execute(query, {"steps": steps}).fetchnumpy()
             self.db.unregister("seed")
             more = got["step"] >= steps
             for name, toks, again in zip(got["word"].tolist(), got["toks"], more.tolist()):
@@ -92,21 +129,21 @@ class Codec:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        short, long = [], []
+        short, long, very_long = [], [], []
         for word in words:
             raw = word.encode()
             if raw in self.ranks:
                 self.words[word] = self.ranks[raw].to_bytes(4, "little")
             else:
-                (short if len(raw) <= STAGE else long).append((word, raw))
-        for group in (short, long):
+                (short if len(raw) <= STAGE else long if len(raw) <= LONG else very_long).append((word, raw))
+        for group, query in ((short, MERGE), (long, MERGE), (very_long, MERGE_RANKS)):
             while group:
                 size = stop = 0
                 while stop < len(group) and (not stop or size + len(group[stop][1]) <= 400_000):
                     size += len(group[stop][1])
                     stop += 1
                 part, group = group[:stop], group[stop:]
-                got = self._merged([raw for _, raw in part], STAGE)
+                got = self._merged([raw for _, raw in part], query)
                 for i, (word, _) in enumerate(part):
                     self.words[word] = got[i]
 
