@@ -1,10 +1,12 @@
 """Token counts that follow edits: a segment tree over the pre-tokens of each document.
 
-Leaves are the token counts of the vocabulary pattern's matches, in order; each node above is the sum of two below. An edit
+Leaves are segments of consecutive matches of the vocabulary's pattern, with their token counts; each node above is the sum of two
+below, and heights of halves differ by one at most. An edit
 replaces a stretch of characters. Matches that end at least one character before it cannot have seen it (the pattern looks one
 character past a match at most), so they stand; from the first other match on, the text is matched anew until a match starts
 where an old one did, behind the edit: from there on, both texts and so all matches agree. Only the matches between are
-counted again, and only their leaves' subtrees are summed again.
+counted again: the tree is cut before and behind them and joined around their own small tree, which makes the sums along
+two paths anew and leaves all other subtrees as they are. (The text itself is one string, and is copied.)
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from pyspark.sql import functions as F
 from docloom.llm.common import id_and_text, pieces
 
 
+#: Pre-tokens of a leaf, at most.
+SEGMENT = 64
+
+
 class Counter:
     """Counts the tokens of single pre-tokens; keeps at most `most_held` of the counts in this process."""
 
@@ -44,79 +50,149 @@ class Counter:
         return np.fromiter(map(self.held.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+class _Node:
+    """A node over one or two halves: how many pre-tokens, characters and tokens lie below. A leaf holds the lengths and counts of
+    a segment of consecutive pre-tokens."""
+
+    __slots__ = ("count", "first", "height", "lengths", "second", "tokens")
+
+    def __init__(self, first=None, second=None, lengths: np.ndarray | None = None, count: np.ndarray | None = None):
+        self.first, self.second, self.lengths, self.count = first, second, lengths, count
+        if first is None:
+            self.height, self.tokens = 0, (len(lengths), int(lengths.sum()), int(count.sum()))
+        else:
+            self.height, self.tokens = 1 + max(first.height, second.height), tuple(map(sum, zip(first.tokens, second.tokens)))
+
+
+def _joined(a: _Node | None, b: _Node | None) -> _Node | None:
+    """One balanced tree (heights of halves differ by one at most) of two: only nodes along the lower tree's edge are made anew."""
+    if a is None or b is None:
+        return a or b
+    if a.height > b.height + 1:
+        inner = _joined(a.second, b)
+        if inner.height > a.first.height + 1:  # one rotation, after one of the inner half if its own first half is the higher
+            if inner.first.height > inner.second.height:
+                inner = _Node(inner.first.first, _Node(inner.first.second, inner.second))
+            return _Node(_Node(a.first, inner.first), inner.second)
+        return _Node(a.first, inner)
+    if b.height > a.height + 1:
+        inner = _joined(a, b.first)
+        if inner.height > b.second.height + 1:
+            if inner.second.height > inner.first.height:
+                inner = _Node(_Node(inner.first, inner.second.first), inner.second.second)
+            return _Node(inner.first, _Node(inner.second, b.second))
+        return _Node(inner, b.second)
+    return _Node(a, b)
+
+
+def _cut(node: _Node | None, place: int) -> tuple[_Node | None, _Node | None]:
+    """The trees of the first `place` pre-tokens and of the rest."""
+    if node is None or place <= 0:
+        return None, node
+    if place >= node.tokens[0]:
+        return node, None
+    if node.first is None:
+        return _Node(lengths=node.lengths[:place], count=node.count[:place]), _Node(lengths=node.lengths[place:], count=node.count[place:])
+    here = node.first.tokens[0]
+    if place < here:
+        low, high = _cut(node.first, place)
+        return low, _joined(high, node.second)
+    low, high = _cut(node.second, place - here)
+    return _joined(node.first, low), high
+
+
+def _grown(lengths: np.ndarray, counts: np.ndarray) -> _Node | None:
+    """A tree of segments of SEGMENT pre-tokens at most."""
+    row = [_Node(lengths=lengths[i : i + SEGMENT], count=counts[i : i + SEGMENT]) for i in range(0, len(lengths), SEGMENT)]
+    while len(row) > 1:
+        row = [_Node(*row[i : i + 2]) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
+    return row[0] if row else None
+
+
+def _segments(node: _Node | None) -> Iterator[_Node]:
+    if node is not None:
+        if node.first is None:
+            yield node
+        else:
+            yield from _segments(node.first)
+            yield from _segments(node.second)
+
+
 class CountTree:
-    """The pre-tokens of one text, with the sums of their token counts as a segment tree."""
+    """The pre-tokens of one text, with the sums of their token counts as a balanced segment tree."""
 
     def __init__(self, text: str, counter: Counter):
-        self.text, self.counter = text, counter
+        self.text, self.counter, self.recounted = text, counter, 0
         words = counter.pattern.findall(text)
-        self.starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))])
-        self.recounted = 0
-        self._grow(counter(words))
-
-    def _grow(self, leaves: np.ndarray) -> None:
-        self.levels = [leaves]
-        while len(self.levels[-1]) > 1:
-            below = self.levels[-1]
-            self.levels.append(np.add.reduceat(below, np.arange(0, len(below), 2)))
+        self.root = _grown(_lengths(words), counter(words))
 
     @property
     def total(self) -> int:
-        return int(self.levels[-1].sum())
+        return self.root.tokens[2] if self.root else 0
+
+    @property
+    def n_pretokens(self) -> int:
+        return self.root.tokens[0] if self.root else 0
+
+    def leaves(self) -> list[int]:
+        """The token counts of all pre-tokens, in order."""
+        return [int(x) for node in _segments(self.root) for x in node.count]
 
     def between(self, first: int, last: int) -> int:
-        """The tokens of pre-tokens first to last - 1, from the largest whole subtrees."""
-        total = 0
-        for level in self.levels:
-            if first >= last:
-                break
-            if first & 1:
-                total += int(level[first])
-                first += 1
-            if last & 1:
-                last -= 1
-                total += int(level[last])
-            first, last = first >> 1, last >> 1
+        """The tokens of pre-tokens first to last - 1, from the sums of whole subtrees."""
+        return self._before(last) - self._before(first)
+
+    def _before(self, place: int) -> int:
+        node, total = self.root, 0
+        while node is not None and place > 0:
+            if place >= node.tokens[0]:
+                return total + node.tokens[2]
+            if node.first is None:
+                return total + int(node.count[:place].sum())
+            here = node.first.tokens
+            node, place, total = (node.first, place, total) if place < here[0] else (node.second, place - here[0], total + here[2])
         return total
 
+    def _at(self, character: int) -> tuple[int, int]:
+        """The number of the pre-token that holds a character, and where it starts; behind the last one, for a place beyond the text."""
+        node, place, start = self.root, 0, 0
+        while node is not None:
+            if character >= start + node.tokens[1]:
+                return place + node.tokens[0], start + node.tokens[1]
+            if node.first is None:
+                ends = start + np.cumsum(node.lengths)
+                i = int(np.searchsorted(ends, character, side="right"))
+                return place + i, int(ends[i] - node.lengths[i])
+            here = node.first.tokens
+            node, place, start = (node.first, place, start) if character < start + here[1] else (node.second, place + here[0], start + here[1])
+        return place, start
+
     def edit(self, start: int, deleted: int, inserted: str) -> None:
         """Replace `deleted` characters from `start` on by `inserted`; both are cut to the text's length."""
         start = min(max(start, 0), len(self.text))
         stop = min(start + max(deleted, 0), len(self.text))
         new = self.text[:start] + inserted + self.text[stop:]
         shift = len(new) - len(self.text)
-        first = int(np.searchsorted(self.starts[1:], start - 1, side="left"))  # the first match with end + 1 >= start
-        first = min(first, len(self.starts) - 1)
-        at, words = int(self.starts[first]), []
-        last = len(self.starts) - 1
+        first, at = self._at(max(start - 2, 0))  # the first pre-token that ends at start - 1 or later
+        last, words = self.n_pretokens, []
         while at < len(new):
-            if at >= start + len(inserted):
-                old = int(np.searchsorted(self.starts, at - shift))
-                if old < len(self.starts) and self.starts[old] == at - shift and at - shift >= stop:
+            if at >= start + len(inserted) and at - shift >= stop:
+                old, old_start = self._at(at - shift)
+                if old_start == at - shift:
                     last = old
                     break
             word = self.counter.pattern.match(new, at).group()
             words.append(word)
             at += len(word)
-        kept = self.levels[0]
-        ends = self.starts[first] + np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
-        self.starts = np.concatenate([self.starts[: first + 1], ends, self.starts[last + 1 :] + shift])
         self.text = new
         self.recounted += len(words)
-        self._splice(first, last, self.counter(words), kept)
-
-    def _splice(self, first: int, last: int, fresh: np.ndarray, kept: np.ndarray) -> None:
-        leaves = np.concatenate([kept[:first], fresh, kept[last:]])
-        if len(fresh) != last - first:
-            self._grow(leaves)  # leaves behind the edit move, so their pairs do
-            return
-        self.levels[0] = leaves
-        low, high = first, first + len(fresh)
-        for i in range(1, len(self.levels)):
-            low, high = low >> 1, (high + 1) >> 1
-            below = self.levels[i - 1]
-            for j in range(low, min(high, len(self.levels[i]))):
-                self.levels[i][j] = below[2 * j : 2 * j + 2].sum()
+        head, rest = _cut(self.root, first)
+        tail = _cut(rest, last - first)[1]
+        self.root = _joined(_joined(head, _grown(_lengths(words), self.counter(words))), tail)
+
+
+def _lengths(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(len, words), dtype=np.int64, count=len(words))
 
 
 _open: dict[tuple, Counter] = {}
@@ -153,7 +229,7 @@ def _counted(rows: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
                 before = tree.total
                 for e in edits or []:
                     tree.edit(e["start"], e["deleted"], e["inserted"])
-                out.append((doc, before, tree.total, len(tree.starts) - 1, tree.recounted))
+                out.append((doc, before, tree.total, tree.n_pretokens, tree.recounted))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "n_tokens", "n_tokens_edited", "n_pretokens", "n_recounted"])
 
     return rows.select("doc_id", "text", "edits").mapInArrow(run, "doc_id long, n_tokens long, n_tokens_edited long, n_pretokens long, n_recounted long")

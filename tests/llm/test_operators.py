@@ -202,6 +202,21 @@ def test_bpe(docs, empty):
         assert np.frombuffer(coder.encode([odd])[0], dtype="<u4").tolist() == encode(odd) and coder.decode(coder.encode([odd])) == [odd.encode()]
 
 
+def test_bpe_of_long_words(monkeypatch):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    encode = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    coder, rng = bpe.codec(path, public_tokenizers.PATTERN), random.Random(6)
+    runs = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("aab", 50_000), ("日本語中文", 50_000), ("abcdefghijklmnopqrstuvwxyz", 600))]
+    for word in runs:
+        assert np.frombuffer(coder.encode([word])[0], dtype="<u4").tolist() == encode(word) and coder.decode(coder.encode([word])) == [word.encode()]
+    monkeypatch.setattr(bpe, "LONG", 70)  # contraction by whole ranks, on many words
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(71, 300))) for letters in ("aab", "etaoinshr", "thehent", "éàaeiou", "abcdefghijklmnopqrstuvwxyz") for _ in range(25)]
+    assert [np.frombuffer(c, dtype="<u4").tolist() for c in coder.encode(words)] == [encode(w) for w in words]
+
+
 def test_token_counts(spark, docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     counter = token_counts.Counter(path, public_tokenizers.PATTERN)
@@ -216,13 +231,46 @@ def test_token_counts(spark, docs, empty):
             start = min(start, len(text))
             text = text[:start] + new + text[start + deleted :]
             leaves = [len(counter.encode(w)) for w in counter.pattern.findall(text)]
-            assert tree.text == text and tree.levels[0].tolist() == leaves and tree.total == sum(leaves)
+            assert tree.text == text and tree.leaves() == leaves and tree.total == sum(leaves)
             a = rng.randint(0, len(leaves))
             b = rng.randint(a, len(leaves))
             assert tree.between(a, b) == sum(leaves[a:b])
     long = token_counts.CountTree(TEXTS[8], counter)
     long.edit(5000, 3, "new")
-    assert long.recounted < 8 < len(long.levels[0])
+    assert long.recounted < 8 < long.n_pretokens
+
+
+def test_an_edit_touches_two_paths(monkeypatch):
+    """Nodes made by an edit grow with the height of the tree, not with the text; heights stay balanced."""
+    counter = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rng, made, real = random.Random(4), [0], token_counts._Node.__init__
+    text = " ".join(rng.choice(WORDS) for _ in range(60_000))
+    tree = token_counts.CountTree(text, counter)
+
+    def heights(node):
+        if node.first is not None:
+            assert abs(node.first.height - node.second.height) <= 1
+            heights(node.first)
+            heights(node.second)
+
+    def counted(self, *args, **kinds):
+        made[0] += 1
+        real(self, *args, **kinds)
+
+    monkeypatch.setattr(token_counts._Node, "__init__", counted)
+    for _ in range(60):
+        start, deleted, new = rng.randint(0, len(text)), rng.randint(0, 40), prose(rng.randint(0, 3))
+        made[0] = 0
+        tree.edit(start, deleted, new)
+        text = text[:start] + new + text[start + deleted :]
+        assert made[0] < 12 * tree.root.height
+    heights(tree.root)
+    assert tree.leaves() == [len(counter.encode(w)) for w in counter.pattern.findall(text)]
+
+
+def test_token_counts_of_edits(spark, docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    counter = token_counts.Counter(path, public_tokenizers.PATTERN)
     edits = spark.createDataFrame([(8, 2, 0, 0, "Head "), (8, 1, 4, 10, None), (10, None, None, None, None), (None, 1, 0, 9, "x"), (999, 1, 0, 1, "y")], "doc_id long, edit_no long, start long, deleted long, inserted string")
     got = {r.doc_id: r for r in token_counts.count_edited(docs, edits, path, public_tokenizers.PATTERN).collect()}
     assert got[8].n_tokens_edited == len(counter.encode("Head " + TEXTS[8][:4] + TEXTS[8][14:])) and got[8].n_tokens == len(counter.encode(TEXTS[8]))
