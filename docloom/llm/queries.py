@@ -56,9 +56,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
-def _terms(terms: list[str]) -> str:
-    inside = "[a-z0-9]"
-    return " + ".join(f"CAST(regexp_matches(u, '(^|[^{inside[1:-1]}]){t}([^{inside[1:-1]}]|$)') AS INTEGER)" for t in terms)
+def _terms(weights: dict[str, int]) -> str:
+    return " + ".join(f"{w} * CAST(regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INTEGER)" for t, w in weights.items())
 
 
 def oracle_sql() -> dict[str, str]:
@@ -77,7 +76,7 @@ def oracle_sql() -> dict[str, str]:
             r(h, pre, v) AS (VALUES {rules}),
             f AS (SELECT page_id, arg_max(h || pre, length(h || pre)) AS rule, arg_max(v, length(h || pre)) AS by_rule
                   FROM q JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id),
-            c AS (SELECT page_id, host, path, {_terms(url_filter.STRICT)} AS strict_hits, {_terms(url_filter.SOFT)} AS soft_hits FROM q)
-            SELECT c.page_id, host, path, rule, coalesce(by_rule, CASE WHEN strict_hits > 0 OR soft_hits >= 2 THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits
+            c AS (SELECT page_id, host, path, {_terms(dict.fromkeys(url_filter.STRICT, 1))} AS strict_hits, {_terms(dict.fromkeys(url_filter.SOFT, 1))} AS soft_hits, {_terms(url_filter.SOFT)} AS soft_weight FROM q)
+            SELECT c.page_id, host, path, rule, coalesce(by_rule, CASE WHEN strict_hits > 0 OR soft_weight >= 3 THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits, soft_weight
             FROM c LEFT JOIN f ON c.page_id = f.page_id""",
     }

@@ -289,10 +289,32 @@ def test_token_counts_of_edits(spark, docs, empty):
 def test_url_filter(spark):
     urls = ["https://www.Example.org/es/a", "http://example.org/en/12", "http://a.org", "http://b.com/de/x?casino", "http://b.com/fr/casino-poker", "https://x.net/Casino/poker", "https://x.net/xxx/", "https://x.net/axxxb/", "no scheme poker casino", None, "", "http://u.net?feed=1&ref=2#://", "http://org/", "http://notexample.org:80/es/"]
     got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame([(i, u, "h", "p") for i, u in enumerate(urls)], "page_id long, url string, host string, path string")).collect()}
-    assert [got[i].verdict for i in range(len(urls))] == ["block", "block", "allow", "block", "allow", "block", "block", "allow", "block", "allow", "allow", "block", "allow", "allow"]
+    assert [got[i].verdict for i in range(len(urls))] == ["block", "block", "allow", "block", "allow", "block", "block", "allow", "block", "allow", "allow", "allow", "allow", "allow"]
     assert [got[i].rule for i in range(5)] == ["example.org/es/", "example.org/en/1", None, "com/de/", "com/fr/"]
     assert (got[0].host, got[0].path) == ("www.example.org", "/es/a") and (got[8].host, got[8].path) == ("", "") and (got[11].host, got[11].path) == ("u.net", "") and got[13].rule is None
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    with pytest.raises(ValueError):
+        url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string"), soft=(("casino", 3),))
+
+
+def test_url_vocabulary_decides_both_ways(spark):
+    """Urls made of terms and plain words, between boundaries or not, against a plain count with regular expressions."""
+    rng = random.Random(9)
+    plain = ["news", "recipe", "page", "article", "2024", "sussex", "scrapbook", "betting2", "feed", "ref", "utm", "essex"]
+    terms = [*url_filter.STRICT[:6], *list(url_filter.SOFT)[::3]]
+    urls = ["https://site.net/" + "".join(rng.choice([w, w.upper()]) + rng.choice(["-", "/", ".", "_", "?q=", "%", "x", "é"]) for w in rng.choices(terms if rng.random() < 0.3 else plain + terms[6:9], k=rng.randint(1, 6))) for _ in range(600)]
+    urls += ["https://site.net/" + "page/" * 40_000 + "casino-poker", urls[0], urls[0]]
+
+    def judged(url):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), url)
+        here = lambda t: re.search(f"(?<![a-z0-9]){t}(?![a-z0-9])", low)
+        strict, soft = [t for t in url_filter.STRICT if here(t)], [w for t, w in url_filter.SOFT.items() if here(t)]
+        return ("block" if strict or sum(soft) >= 3 else "allow", len(strict), len(soft), sum(soft))
+
+    got = {r.page_id: (r.verdict, r.strict_hits, r.soft_hits, r.soft_weight) for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert got == {i: judged(u) for i, u in enumerate(urls)}
+    assert 100 < sum(v[0] == "block" for v in got.values()) < 500
+    assert judged("https://e.net/article?utm_source=feed&ref=x")[0] == judged("https://e.net/essex/cheap-flights")[0] == "allow"
 
 
 def test_sharding(docs, empty, spark):
