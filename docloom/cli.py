@@ -1,4 +1,4 @@
-"""Command line: chunk, build, query and doctor."""
+"""Command line: chunk, index, build, query and doctor."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ def phase(spark: SparkSession, name: str):
     finally:
         spark.sparkContext.setJobDescription(None)
         seconds = int(time.time() - began)
-        log.info("%s: %dm%02ds", name, seconds // 60, seconds % 60)
+        log.info("%s: %dm%02ds", name, *divmod(seconds, 60))
 
 
 def settings_from(path: str | None) -> plans.Settings:
@@ -44,7 +44,7 @@ def settings_from(path: str | None) -> plans.Settings:
     missing = [v for v in re.findall(r"\$\{(\w+)\}", text) if v not in os.environ]
     if missing:
         raise ValueError(f"not set in the environment: {', '.join(sorted(set(missing)))}")
-    given = json.loads(re.sub(r"\$\{(\w+)\}", lambda m: os.environ[m[1]], text))
+    given = json.loads(re.sub(r"\$\{(\w+)\}", lambda m: json.dumps(os.environ[m[1]])[1:-1], text))
     unknown = set(given) - set(plans.Settings.__dataclass_fields__)
     if unknown:
         raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
@@ -66,6 +66,9 @@ def main(arguments: list[str] | None = None) -> int:
         one.add_argument("source")
         one.add_argument("target")
         one.add_argument("--from", dest="kind", choices=["md", "chunks"], default="md")
+    one = commands.add_parser("index")
+    one.add_argument("source", help="a manifest of chunks that exists already")
+    one.add_argument("target")
     one = commands.add_parser("query")
     one.add_argument("text")
     one.add_argument("--db", required=True)
@@ -82,6 +85,10 @@ def main(arguments: list[str] | None = None) -> int:
     elif asked.command == "build":
         with phase(spark, "build"):
             print(plans.build(spark, chunked(spark, asked.source, asked.kind, settings), asked.target, settings).toJSON().first())
+    elif asked.command == "index":
+        with phase(spark, "index"):
+            known = readers.manifest(spark, asked.source).drop("refs_out", "refs_in", "mentioned_entities")
+            print(plans.build(spark, known, asked.target, settings).toJSON().first())
     elif asked.command == "query":
         if asked.k is not None:
             settings.k = asked.k

@@ -101,9 +101,5 @@ def task_label(text: Column, chars: int = 90) -> Column:
     return label
 
 
-def elapsed(seconds: Column) -> Column:
-    return F.format_string("%dm%02ds", F.floor(seconds / 60).cast("int"), F.floor(seconds % 60).cast("int"))
-
-
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)

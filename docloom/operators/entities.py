@@ -34,6 +34,11 @@ def aliases(names: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
     return joined.select("name", "name_key", "canonical", T.canonical_key(F.col("canonical")).alias("canonical_key"), F.col("id").cast("string").alias("id"))
 
 
+def n_folded(alias_table: DataFrame) -> int:
+    """How many names were folded into another one."""
+    return alias_table.where("name <> canonical").count()
+
+
 def folded(rows: DataFrame, column: str, alias_table: DataFrame) -> DataFrame:
     """`rows` with `key`: the canonical key of the name that `column` folds to (itself, if unknown)."""
     known = alias_table.select("name_key", F.col("canonical_key").alias("_to")).dropDuplicates(["name_key"])

@@ -6,11 +6,11 @@ node, pos (order), score.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.lineage import cut
+
 HITS = ["query_id", "chunk_id", "hop", "direction", "via", "edge_type", "score", "found_pos"]
 
 
@@ -44,9 +44,11 @@ def _admitted(found: DataFrame, spent: DataFrame, budget: int) -> DataFrame:
 def expand(edges: DataFrame, seeds: DataFrame, costs: DataFrame | None = None, depth: int = 2, decay: float = 0.5, budget: int = 0) -> DataFrame:
     """Breadth-first hits of every query, HITS by column: each node at its first discovery (earlier parents first, outgoing before
     incoming edges, then edge order); the score is the parent's times decay**hop times the edge's weight. Seeds are never hits. With a
-    budget above 0, hits are admitted while their costs (node, cost; unknown nodes cost 0) fit."""
-    both = doubled(edges)
+    budget above 0, hits are admitted while their costs (node, cost; unknown nodes cost 0) fit. Each hop is checkpointed, so that the plan
+    of one does not hold those of all before it; an empty frontier ends the walk."""
+    both = cut(doubled(edges))
     frontier = seeds.select("query_id", F.col("node").alias("node"), F.col("pos").cast("long").alias("parent_pos"), F.col("score").cast("double").alias("score"))
+    frontier = cut(frontier)
     visited = frontier.select("query_id", F.col("node").alias("chunk_id")).distinct()
     hits = None
     for hop in range(1, depth + 1):
@@ -57,13 +59,15 @@ def expand(edges: DataFrame, seeds: DataFrame, costs: DataFrame | None = None, d
         found = first.withColumn("found_pos", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).cast("long"))
         if budget:
             found = found.join(costs.select(F.col("node").alias("chunk_id"), F.col("cost").cast("long").alias("cost")), "chunk_id", "left").fillna({"cost": 0})
-            before = seeds.select("query_id").distinct().withColumns({"spent": F.lit(0).cast("long"), "n": F.lit(0).cast("long")}) if hits is None else hits.groupBy("query_id").agg(F.sum("cost").alias("spent"), F.count("*").alias("n"))
+            before = frontier.select("query_id").distinct().withColumns({"spent": F.lit(0).cast("long"), "n": F.lit(0).cast("long")}) if hits is None else hits.groupBy("query_id").agg(F.sum("cost").alias("spent"), F.count("*").alias("n"))
             found = _admitted(found, before, budget)
         found = found.withColumns({"hop": F.lit(hop), "direction": F.when(F.col("dir") == 0, "xref_out").otherwise("xref_in")})
-        found = found.select(*HITS, *(["cost"] if budget else []))
+        found = cut(found.select(*HITS, *(["cost"] if budget else [])))  # read by the hits, the visited and the next frontier
         hits = found if hits is None else hits.unionByName(found)
         visited = visited.unionByName(found.select("query_id", "chunk_id"))
         frontier = found.select("query_id", F.col("chunk_id").alias("node"), F.col("found_pos").alias("parent_pos"), "score")
+        if hop < depth and frontier.isEmpty():
+            break
     return hits.select(*HITS)
 
 
@@ -109,20 +113,15 @@ def fused(seeds: DataFrame, claims: DataFrame | None, hits: DataFrame, k: int =
     return kept.select("query_id", "rank", "chunk_id", "source", "hop", F.round("score", 4).alias("score"), "via", "edge_type", "text", "n_claims")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in spark.checkpoint.dir; a temporary folder only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="docloom-checkpoint-"))
-    return df.checkpoint()
-
-
 def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
     """(node, community): the smallest node within `rounds` steps along undirected edges (a, b). A deterministic stand-in for clustering.
-    Every round reads the labels twice, so each is checkpointed; else the plan would double with each."""
-    both = _cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    Every round reads the labels twice, so each is checkpointed, else the plan would double; rounds end early when no label changes."""
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = both.select(F.col("a").alias("node"), F.col("a").alias("community")).distinct()
     for _ in range(rounds):
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("community").alias("near"))
-        labels = _cut(labels.join(seen, "node", "left").select("node", F.least("community", F.coalesce("near", "community")).alias("community")))
+        moved = cut(labels.join(seen, "node", "left").select("node", F.least("community", F.coalesce("near", "community")).alias("community"), (F.col("near") < F.col("community")).alias("changed")))
+        labels = moved.drop("changed")
+        if moved.where("changed").isEmpty():
+            break
     return labels

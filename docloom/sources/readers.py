@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +40,14 @@ def converted(rows: DataFrame, convert: Callable[[bytes], str] | None = None) ->
     """(doc_id, doc_title, md) from binary files (path, content) by a converter of one file, such as one for PDF, that a user brings."""
     if convert is None:
         raise ValueError("a converter from bytes to Markdown is needed; none for PDF comes with this library")
-    to_text = F.udf(lambda raw: convert(bytes(raw)), "string")
-    return rows.select(F.xxhash64("path").alias("doc_id"), F.element_at(F.split("path", "/"), -1).alias("doc_title"), to_text("content").alias("md"))
+    given = rows.select(F.xxhash64("path").alias("doc_id"), F.element_at(F.split("path", "/"), -1).alias("doc_title"), "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            md = [convert(raw or b"") for raw in batch.column("content").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("doc_title"), pa.array(md, pa.string())], ["doc_id", "doc_title", "md"])
+
+    return given.mapInArrow(run, "doc_id long, doc_title string, md string")
 
 
 def pages(rows: DataFrame) -> DataFrame:
@@ -106,13 +113,14 @@ class KnowledgeBase:
         if self.entities is None or self.text_units is None:
             raise FileNotFoundError(f"{path} holds no knowledge base: entities or text_units are missing")
         self.communities, self.reports, self.relationships, self.claims = (optional(spark, f"{path}/{t}.parquet") for t in ("communities", "community_reports", "relationships", "covariates"))
+        self.entity_units = optional(spark, f"{path}/entity_units.parquet")
         self.edges = optional(spark, f"{path}/cross_references.parquet", schemas.EDGE)
         self.aliases = optional(spark, f"{path}/entity_aliases.parquet", schemas.ALIAS)
         self.chunks = manifest(spark, f"{path}/chunks_manifest.jsonl")
 
     def register(self, prefix: str = "kb_") -> None:
         """Temporary views of all tables that are there, for SQL."""
-        for name in ("entities", "text_units", "communities", "reports", "relationships", "claims", "edges", "aliases", "chunks"):
+        for name in ("entities", "entity_units", "text_units", "communities", "reports", "relationships", "claims", "edges", "aliases", "chunks"):
             rows = getattr(self, name)
             if rows is not None:
                 rows.createOrReplaceTempView(prefix + name)

@@ -26,7 +26,7 @@ def table(rows: DataFrame, path: str, schema: str | None = None) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def bundle(spark: SparkSession, path: str, chunks: DataFrame, edges: DataFrame, tables: dict[str, DataFrame], facts: dict[str, str] | None = None) -> DataFrame:
+def bundle(spark: SparkSession, path: str, chunks: DataFrame, edges: DataFrame, tables: dict[str, DataFrame], facts: dict[str, str | int] | None = None) -> DataFrame:
     """Write all tables of a knowledge base into one directory, with a manifest of row counts; returns that manifest."""
     manifest(chunks, f"{path}/chunks_manifest.jsonl")
     table(edges, f"{path}/cross_references.parquet", schemas.EDGE)
