@@ -86,15 +86,15 @@ def section_parts(found: DataFrame, target_tokens: int, max_tokens: int, prepend
     found = found.withColumns({"lead": F.concat(context, heading), "body": F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n")})
     found = found.withColumn("whole", T.strip(F.concat("lead", "body"))).withColumn("fits", T.token_count(F.col("whole")) <= max_tokens)
     overhead = T.token_count(F.col("lead")) + 8
-    small = found.where("fits").withColumn("parts", F.array("whole"))
     counted = F.transform("blocks", lambda b: F.struct(b["kind"].alias("kind"), b["text"].alias("text"), T.token_count(b["text"]).alias("tok")))
-    large = found.where(~F.col("fits")).withColumn("parts", pack_blocks(counted, F.greatest(F.lit(target_tokens) - overhead, F.lit(128)), F.lit(max_tokens) - overhead))
+    packed = pack_blocks(counted, F.greatest(F.lit(target_tokens) - overhead, F.lit(128)), F.lit(max_tokens) - overhead)
+    # the fold is a branch that rows within the limit never take, and the input is read once
+    found = found.withColumn("packed", F.when(~F.col("fits"), packed))
     marked = F.transform(
-        "parts",
-        lambda p, i: T.strip(F.concat(F.col("lead"), F.when(i > 0, F.concat(F.lit("_(continued — part "), (i + 1).cast("string"), F.lit(" of "), F.size("parts").cast("string"), F.lit(")_\n\n"))).otherwise(""), p)),
+        "packed",
+        lambda p, i: T.strip(F.concat(F.col("lead"), F.when(i > 0, F.concat(F.lit("_(continued — part "), (i + 1).cast("string"), F.lit(" of "), F.size("packed").cast("string"), F.lit(")_\n\n"))).otherwise(""), p)),
     )
-    large = large.withColumn("parts", marked)
-    every = small.unionByName(large).withColumn("n_parts", F.size("parts"))
+    every = found.withColumn("parts", F.coalesce(marked, F.array("whole"))).drop("packed").withColumn("n_parts", F.size("parts"))
     return every.select("*", F.posexplode("parts").alias("at", "text")).withColumn("part", F.col("at") + 1).drop("at", "parts", "whole", "body", "lead", "fits", "blocks")
 
 
