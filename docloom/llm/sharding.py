@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from docloom.llm.common import cut, shuffle_partitions
 
 
+#: Parts that a group of equal texts is dealt in while its cell is settled.
+SALTS = 256
+
+
 def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
     """The index along the Hilbert curve of points with coordinates below 2**bits: coordinates are turned into the transposed
     index by undoing excess reflections and exchanges from the high bit down, then Gray decoded and interleaved."""
@@ -66,9 +70,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, bits: int = 6) -> DataFra
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in docs.columns else F.lit("").alias(c) for c in ("lang", "source")),
     )
     group = ["text_crc32", "mark", "size"]
-    shared = told.groupBy(*group).agg(F.min("lang").alias("lang_1"), F.min("source").alias("source_1"), F.max("lang").alias("lang_2"), F.max("source").alias("source_2"))
-    shared = shared.where("lang_1 <> lang_2 or source_1 <> source_2").select(*group, "lang_1", "source_1")
-    told = told.join(shared, group, "left").withColumns({"lang": F.coalesce("lang_1", "lang"), "source": F.coalesce("source_1", "source")})
+    # a group's cell is found and handed back by (group, salt), so that a group of very many copies is never one key
+    told = told.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    salted = told.groupBy(*group, "salt").agg(F.min("lang").alias("lang_1"), F.min("source").alias("source_1"), F.max("lang").alias("lang_2"), F.max("source").alias("source_2"))
+    shared = salted.groupBy(*group).agg(*(f(c).alias(c) for c, f in (("lang_1", F.min), ("source_1", F.min), ("lang_2", F.max), ("source_2", F.max))))
+    shared = shared.where("lang_1 <> lang_2 or source_1 <> source_2").select(*group, F.col("lang_1").alias("lang_0"), F.col("source_1").alias("source_0"))
+    moved = salted.select(*group, "salt").join(shared, group)
+    told = told.join(moved, [*group, "salt"], "left").withColumns({"lang": F.coalesce("lang_0", "lang"), "source": F.coalesce("source_0", "source")})
     most = (1 << bits) - 1
 
     @F.pandas_udf("long")
