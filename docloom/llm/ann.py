@@ -156,16 +156,17 @@ def build_index(vectors: DataFrame, k: int = 5, shard_size: int = 4096, degree:
     return cut(dealt.groupBy("dim", "shard").applyInPandas(_built(degree, beam, alpha), "dim int, shard int, pos int, ids array<long>, vec array<double>, edges array<int>, entry boolean"))
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, beam: int = 64, block: int = 4096, **parameters) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, beam: int = 64, block: int = 16_384, **parameters) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each row whose vec_id is divisible by `every`.
 
     Nearness is the cosine in double precision, largest first, ties to the smaller vec_id; all other rows are candidates. Rows with a
     null vec_id take no part, nor do vectors that are null, empty or zero, or hold null or non-finite components. Vectors are only
-    compared with vectors of as many components. Rows that repeat a vec_id and vector count once. Fewer than k rows are
+    compared with vectors of as many components. Rows that repeat a vec_id and vector count once; of a vec_id's different vectors, the least
+(by component, then by number of components) asks, and all are candidates for others. Fewer than k rows are
     returned only where there are fewer candidates. An empty table gives an empty result.
     """
     index = build_index(vectors, k=k, **parameters)
-    queries = _usable(vectors).where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = _usable(vectors).where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     blocks = max(1, math.ceil(queries.count() / block))
     shards = index.select(F.col("dim").alias("of_dim"), F.col("shard").alias("of_shard")).distinct()
     asked = queries.select("vec_id", "vec", F.size("vec").alias("of_dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("of_block")).join(shards, "of_dim")
