@@ -7,12 +7,13 @@ dual values, until none improves the bound by more than `gap`. Patterns are used
 leaves is packed best fit, as patterns that are used once. The pieces of each class are then ranked, as a Spark job, and
 the piece of rank r takes the r-th place that the patterns have for its class, by a join with the (bounded) table of patterns.
 
-Ranks do not need a task for a class: pieces are numbered within (class, salt), and the salts of a class within a
-table of classes * salts rows.
+Ranks do not need a task for a class: pieces are numbered within (class, salt), with as many salts as keep a salt's pieces near
+`rows_a_salt`, and the salts of a class within a table of classes * salts rows. Pieces that fill a sequence are not ranked at all.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -27,8 +28,28 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _held: dict[str, WordIds] = {}
 
 
+# The rules of tokenizer files whose ids can be put together from words.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def _by_words(path: str) -> bool:
+    """Whether the file has the rules that WordIds relies on."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps, model = (told.get("pre_tokenizer") or {}).get("pretokenizers", [{}, {}]), told["model"]
+    return (
+        told.get("normalizer") == NORMALIZER
+        and len(steps) == 2
+        and steps[0] == SPLIT
+        and (steps[1].get("type"), steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == ("ByteLevel", False, False)
+        and (model.get("type"), model.get("end_of_word_suffix"), model.get("dropout"), told.get("truncation")) == ("BPE", "</w>", None, None)
+    )
+
+
 class WordIds:
-    """The ids of words, worked out once in a Python worker; at most `most_held` words are kept.
+    """The ids of words, worked out once in a Python worker; at most `most_held` words are kept. Texts of a tokenizer file with other
+    rules than those below are encoded whole.
 
     The tokenizer drops white space and lets no token cross it, so the ids of a text are those of its chunks between ASCII
     spaces and line ends. A chunk of letters or digits and then stops, commas or exclamation marks has the ids of its two
@@ -44,6 +65,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.by_words = _by_words(path)
         words = self.tokenizer.get_vocab()
         self.last = np.zeros(max(words.values()) + 1, dtype=bool)
         self.last[[i for w, i in words.items() if w.endswith("</w>")]] = True
@@ -71,6 +93,8 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
+        if not self.by_words:
+            return [np.array(got.ids, dtype="<u4").tobytes() for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         chunked = [_lowered(t).replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
         parts = {}
         for chunk in set().union(*chunked):
@@ -195,29 +219,37 @@ def rounded(patterns: list[tuple[np.ndarray, float]], demand: np.ndarray, sizes:
     return out + [(b[1], 1) for b in bins]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int = 2, grain: int = 16, salts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int = 2, grain: int = 16, rows_a_salt: int = 200_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids are those of its text (null: of the empty text) and `end_id`; so an empty text makes one piece of length 1. Each
     id lies in exactly one piece, and a piece is cut only at multiples of `length`. Sequences hold `length` ids at most; their
-    pieces lie without gaps from offset 0. Which of several pieces of a class goes where follows a hash of doc_id, then
-    doc_id and start; repeated rows are pieces of their own. An empty table gives an empty result.
+    pieces lie without gaps from offset 0; sequence_ids are unique, but not gapless. Which of several pieces of a class goes where follows a
+    hash of doc_id, then doc_id and start; repeated rows are pieces of their own. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     cut_up = id_and_text(docs).mapInArrow(_cut_up(tokenizer_path, length, end_id), PIECES)
     # written once: the histogram, the ranks and the result must see the same rows, and tokenising costs most
-    cut_up = cut(cut_up.withColumns({"class": F.ceil(F.col("length") / grain).cast("int"), "salt": F.pmod(F.coalesce(F.xxhash64("doc_id", "start"), F.lit(0)), F.lit(salts)).cast("int")}))
-    counted = cut_up.groupBy("class", "salt").agg(F.count("*").alias("n"))
+    cut_up = cut(cut_up.withColumn("class", F.ceil(F.col("length") / grain).cast("int")))
+    full = length // grain  # pieces of this class fill a sequence each, and need no rank
+    histogram = {r["class"]: r["n"] for r in cut_up.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    places = places_of({c: n for c, n in histogram.items() if c < full}, full)
+    sequences = 1 + max((sequence + (high - low - 1) // per for _, low, high, per, sequence in places), default=-1)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    alone = cut_up.where(F.col("class") >= full).withColumns({"sequence_id": F.lit(sequences) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+
+    salts = max(1, -(-max((n for c, n in histogram.items() if c < full), default=1) // rows_a_salt))
+    rest = cut_up.where(F.col("class") < full).withColumn("salt", F.pmod(F.coalesce(F.xxhash64("doc_id", "start"), F.lit(0)), F.lit(salts)).cast("int"))
+    counted = rest.groupBy("class", "salt").agg(F.count("*").alias("n"))
     firsts = counted.select("class", "salt", F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    histogram = counted.groupBy("class").agg(F.sum("n").alias("n")).orderBy("class").collect()
-    places = spark.createDataFrame(places_of({r["class"]: r["n"] for r in histogram}, length // grain), "class int, low long, high long, per int, sequence long")
     within = Window.partitionBy("class", "salt").orderBy("doc_id", "start")
-    ranked = cut_up.withColumn("rank", F.row_number().over(within) - 1).join(F.broadcast(firsts), ["class", "salt"]).withColumn("rank", F.col("rank") + F.col("first"))
-    p = F.broadcast(places.withColumnRenamed("class", "of"))
+    ranked = rest.withColumn("rank", F.row_number().over(within) - 1).join(firsts, ["class", "salt"]).withColumn("rank", F.col("rank") + F.col("first"))
+    p = F.broadcast(spark.createDataFrame(places, "of int, low long, high long, per int, sequence long"))
     placed = ranked.join(p, (F.col("class") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     placed = placed.withColumn("sequence_id", F.expr("sequence + (rank - low) div per"))
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "class", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    return placed.select(*columns).unionByName(alone.select(*columns))
 
 
 def places_of(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

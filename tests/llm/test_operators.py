@@ -370,6 +370,15 @@ def test_packing(docs, empty):
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in packing.token_ids(odd, path)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_other_tokenizers_are_not_put_together_from_words():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts, tokenizer = ["Hello,  wide World!\n don't", "", "Straße 日本語 🙂"], Tokenizer.from_file(path)
+    assert packing._by_words(public_tokenizers.path("word_bpe_49k.json")) and not packing._by_words(path)
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in packing.WordIds(path).encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_column_generation_meets_demand():
     rng = np.random.default_rng(0)
     for n in (1, 7, 400):
