@@ -238,7 +238,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int =
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     alone = cut_up.where(F.col("class") >= full).withColumns({"sequence_id": F.lit(sequences) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
-    salts = max(1, -(-max((n for c, n in histogram.items() if c < full), default=1) // rows_a_salt))
+    salts = max(64, -(-max((n for c, n in histogram.items() if c < full), default=1) // rows_a_salt))
     rest = cut_up.where(F.col("class") < full).withColumn("salt", F.pmod(F.coalesce(F.xxhash64("doc_id", "start"), F.lit(0)), F.lit(salts)).cast("int"))
     counted = rest.groupBy("class", "salt").agg(F.count("*").alias("n"))
     firsts = counted.select("class", "salt", F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
