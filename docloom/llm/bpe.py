@@ -73,7 +73,7 @@ FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROU
 GROUP BY 1"""
 
 DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY place) AS text
+SELECT doc, array_to_string(list(piece ORDER BY place), '') AS text
 FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM coded) JOIN vocabulary USING (id)
 GROUP BY doc"""
 
