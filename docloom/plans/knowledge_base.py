@@ -113,7 +113,7 @@ def entity_units(kb: readers.KnowledgeBase) -> DataFrame:
         listed = readers.column_of(kb.entities, "text_unit_ids", "text_units")
         if listed is None:
             raise ValueError("the entity table has no list of text units, and there is no table of links")
-        links = kb.entities.select(F.col("id").alias("entity_id"), F.explode(listed).cast("string").alias("unit_id"))
+        links = kb.entities.select(F.col("id").alias("entity_id"), F.explode(F.col(listed).cast("array<string>")).alias("unit_id"))
     chunks = kb.chunks.select(node().alias("chunk_id"), F.col("chunk_id").alias("bare"), "doc_id", "order", "text")
     units = kb.text_units.select(F.col("id").cast("string").alias("id"), "text")
     mapped = readers.mapped_units(units, readers.by_prefix(chunks), readers.unit_ids(kb.text_units)).select(F.col("id").alias("unit_id"), F.col("chunk_id").alias("to"))

@@ -257,6 +257,42 @@ def test_build_and_retrieve(spark, tmp_path):
         plans.build(spark, chunking.chunk_documents(docs).limit(0), str(tmp_path / "none"), settings)
 
 
+def test_documents_whose_chunk_ids_agree(spark, tmp_path):
+    """Two copies of one specification under other document ids: every chunk id occurs twice, and nothing crosses over."""
+    docs = spark.createDataFrame([(1, "Spec", SPEC), (2, "Spec", SPEC.replace("The host shall stop.", "The host shall go."))], "doc_id long, doc_title string, md string")
+    settings = plans.Settings(claims=True)
+    told = plans.build(spark, chunking.chunk_documents(docs), str(tmp_path / "kb"), settings).first()
+    kb = readers.KnowledgeBase(spark, str(tmp_path / "kb"))
+    assert told.n_chunks == 6 and kb.chunks.select("chunk_id").distinct().count() == 3 and told.n_folded_names == 0
+    got = plans.Retriever(kb, settings).search(spark.createDataFrame([(7, "Abort command")], "query_id long, text string"), k=0).collect()
+    chunks = [(r.doc_id, r.chunk_id) for r in got if r.chunk_id]
+    assert len(chunks) == len(set(chunks)) == 6 and all(r.text for r in got)
+    assert all(("shall stop" in r.text) <= (r.doc_id == 1) for r in got if r.chunk_id)
+    assert not any(r.source == "claims" for r in plans.Retriever(kb, settings).search(spark.createDataFrame([(7, "Abort command")], "query_id long, text string"), claims=False).collect())
+    # a knowledge base made elsewhere: lists of unit ids, one of them known by the beginning of its text only
+    units = {r.id: r.text for r in kb.text_units.collect()}
+    kb.entity_units, kb.entities = None, kb.entities.withColumn("text_units", F.array(*(F.lit(u) for u in sorted(units)[:2])))
+    kb.text_units = spark.createDataFrame([(u, None if i == 0 else u, t) for i, (u, t) in enumerate(sorted(units.items()))], "id string, document_id string, text string")
+    found = {r.node for r in plans.entity_units(kb).collect()}
+    assert sorted(units)[1] in found and len(found) == 2
+
+
+def test_settings_and_index(spark, tmp_path):
+    from docloom import cli
+
+    for wrong in ('{"k": "five"}', '{"claims": 1}', '{"nothing": 1}', '{"max_tokens": 5}', '{"k": ${NOT_SET_ANYWHERE}}'):
+        (tmp_path / "s.json").write_text(wrong)
+        with pytest.raises(ValueError):
+            cli.settings_from(str(tmp_path / "s.json"))
+    (tmp_path / "s.json").write_text('{"hop_decay": 1, "named_references": ["a"], "merge_threshold": null}')
+    assert cli.settings_from(str(tmp_path / "s.json")).named_references == ["a"]
+    chunks = chunking.chunk_documents(spark.createDataFrame([(1, "Spec", SPEC)], "doc_id long, doc_title string, md string"))
+    plans.build(spark, chunks, str(tmp_path / "a"), plans.Settings(chunk_files=True))
+    assert sorted(p.read_text() for p in (tmp_path / "a" / "chunks").rglob("part-*")) == sorted(r.text for r in readers.manifest(spark, f"{tmp_path}/a/chunks_manifest.jsonl").collect())
+    known = readers.manifest(spark, f"{tmp_path}/a/chunks_manifest.jsonl").drop("refs_out", "refs_in", "mentioned_entities")
+    assert plans.build(spark, known, str(tmp_path / "b"), plans.Settings(inline_titles=False)).first().n_chunks == 3
+
+
 def test_chunk_directory(spark, tmp_path):
     (tmp_path / "d" / "sub").mkdir(parents=True)
     for name, text in {"b_two.txt": "no heading here", "a.md": "# 3.1 First\n\nbody", "sub/c.TXT": "x", "blank.md": "  \n", "skip.pdf": "x", "plain": "words"}.items():
