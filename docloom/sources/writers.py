@@ -2,15 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import schemas
 
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def chunk_files(chunks: DataFrame, path: str) -> None:
-    """A folder for each chunk with its text in one file; what an earlier run left is replaced."""
-    chunks.select(F.col("text").alias("value"), "doc_id", "chunk_id").write.mode("overwrite").partitionBy("doc_id", "chunk_id").text(path, lineSep="")
+    """A folder for each chunk with exactly its text in one file; what an earlier run left is replaced.
+
+    Spark's text sink ends every row with a separator, so tasks write the files themselves. A task that is run again
+    writes the same files. Folders are named like partitions; a null id is `__HIVE_DEFAULT_PARTITION__`, a null text an empty file.
+    """
+    spark = chunks.sparkSession
+    given = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(given, True)
+    # qualified, so that tasks never take a path of a shared file system for a local one
+    root = system.makeQualified(given).toUri().toString()
+    root = root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                doc, chunk = (_NO_VALUE if row[name] is None else quote(str(row[name]), safe="") for name in ("doc_id", "chunk_id"))
+                folder = f"{base}/doc_id={doc}/chunk_id={chunk}"
+                files.create_dir(folder, recursive=True)
+                with files.open_output_stream(f"{folder}/part-0.md") as out:
+                    out.write((row["text"] or "").encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    chunks.select("doc_id", "chunk_id", "text").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
 
 
 def manifest(chunks: DataFrame, path: str) -> None:
