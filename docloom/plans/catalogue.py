@@ -359,21 +359,22 @@ def alias_tier3(spark, sf_dir):
     return entities.merged_by_vectors(canonical, vecs, 0.2)
 
 
-@query("""SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS INTEGER) AS rank, b.vec_id AS id,
-    round(list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings b WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10""")
+_NEAREST = """SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS INTEGER) AS rank, b.vec_id AS id,
+    round(list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings b WHERE q.vec_id % 20 = 0 QUALIFY rank <= 10"""
+
+
+@query(_NEAREST)
 def vector_topk(spark, sf_dir):
+    """The ten nearest rows of every row whose id is divisible by 20."""
     base = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    asked = base.where("id % 100 = 0").withColumnRenamed("id", "query_id")
+    asked = base.where("id % 20 = 0").withColumnRenamed("id", "query_id")
     return vectors.top_k(base, asked, 10).withColumn("score", F.round("score", 6))
 
 
-@query("""SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS INTEGER) AS rank, b.vec_id AS id,
-    round(list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings b WHERE q.vec_id % 20 = 0 QUALIFY rank <= 10""")
+@query(_NEAREST)
 def vector_topk_every20(spark, sf_dir):
-    """As vector_topk, asked for every row whose id is divisible by 20."""
-    base = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    asked = base.where("id % 20 = 0").withColumnRenamed("id", "query_id")
-    return vectors.top_k(base, asked, 10).withColumn("score", F.round("score", 6))
+    """The earlier name of the same search."""
+    return vector_topk(spark, sf_dir)
 
 
 @query("SELECT x.l_partkey AS a, y.l_partkey AS b, count(*) AS weight FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) x JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey GROUP BY 1, 2")
@@ -382,7 +383,7 @@ def cooccurrence_graph(spark, sf_dir):
 
 
 _COMMUNITIES = """
-    e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem WHERE l_quantity > 49),
+    e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem),
     u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
     c0 AS (SELECT DISTINCT a AS node, a AS c FROM u),
     c1 AS (SELECT c0.node, least(c0.c, min(n.c)) AS c FROM c0 JOIN u ON u.a = c0.node JOIN c0 n ON n.node = u.b GROUP BY c0.node, c0.c),
@@ -391,11 +392,12 @@ _COMMUNITIES = """
 
 
 def _part_suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b")).distinct()
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b")).distinct()
 
 
 @query(S.with_(_COMMUNITIES, "SELECT node, c AS community FROM c3"))
 def communities_min_label(spark, sf_dir):
+    """Three rounds of label propagation over the edges of the whole table."""
     return graph.label_propagation(_part_suppliers(spark, sf_dir), rounds=3)
 
 
@@ -411,21 +413,17 @@ _WHOLE_COMMUNITIES = "e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey
 )
 
 
-def _all_part_suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b")).distinct()
-
-
 @query(S.with_(_WHOLE_COMMUNITIES, "SELECT node, c AS community FROM c5"))
 def communities_whole(spark, sf_dir):
-    """As communities_min_label, over the edges of all quantities and with the operator's own number of rounds."""
-    return graph.label_propagation(_all_part_suppliers(spark, sf_dir))
+    """As communities_min_label, with the operator's own number of rounds."""
+    return graph.label_propagation(_part_suppliers(spark, sf_dir))
 
 
 @query(S.with_(_WHOLE_COMMUNITIES, """SELECT s.community, s.size, coalesce(i.n, 0) AS n_edges, 'Community ' || s.community || ' has ' || s.size || ' members and ' || coalesce(i.n, 0) || ' relationships.' AS report
     FROM (SELECT c AS community, count(*) AS size FROM c5 GROUP BY c) s LEFT JOIN (SELECT x.c AS community, count(*) AS n FROM e JOIN c5 x ON x.node = e.a JOIN c5 y ON y.node = e.b AND x.c = y.c GROUP BY x.c) i ON s.community = i.community"""))
 def community_reports_whole(spark, sf_dir):
     """As community_reports, over the communities and edges of communities_whole."""
-    edges = _all_part_suppliers(spark, sf_dir)
+    edges = _part_suppliers(spark, sf_dir)
     return entities.community_reports(graph.label_propagation(edges), edges)
 
 
