@@ -331,6 +331,32 @@ def test_sharding(docs, empty, spark):
     assert len({r.shard for r in few}) == 3
 
 
+def test_written_shards_prune(spark, docs, empty, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(3)
+    rows = [(i, f"{i} " + "x" * int(10 ** rng.uniform(0, 4)), rng.choice("abcd"), f"site-{rng.randrange(40):02d}", None, 1, 2, True, "x") for i in range(2000)]
+    made = spark.createDataFrame(rows, SCHEMA)
+    sharding.write_shards(made, str(tmp_path / "s"), shards=16)
+    made.repartition(16).write.parquet(str(tmp_path / "plain"))
+    assert Counter(tuple(r) for r in spark.read.parquet(str(tmp_path / "s")).select(*made.columns).collect()) == Counter(rows)
+
+    def read(folder, column, low, high):
+        told = [pq.ParquetFile(f).metadata.row_group(0) for f in glob.glob(f"{tmp_path}/{folder}/**/*.parquet", recursive=True)]
+        place = SCHEMA.replace(",", "").split()[::2].index(column)
+        return sum(m.num_rows for m in told if m.column(place).statistics.min <= high and m.column(place).statistics.max >= low)
+
+    for column, low, high in (("lang", "b", "b"), ("source", "site-07", "site-09")):
+        assert read("s", column, low, high) < 0.7 * 2000 == 0.7 * read("plain", column, low, high)
+    sharding.write_shards(docs, str(tmp_path / "edge"), shards=5)
+    assert spark.read.parquet(str(tmp_path / "edge")).count() == len(ROWS)
+    sharding.write_shards(empty, str(tmp_path / "none"), shards=5)
+    with pytest.raises(ValueError):
+        sharding.write_shards(docs.withColumn("hilbert_shard", F.lit(1)), str(tmp_path / "clash"))
+
+
 def test_hilbert_curve():
     side = 8
     points = np.array([(a, b, c) for a in range(side) for b in range(side) for c in range(side)])
