@@ -153,6 +153,8 @@ def build_index(vectors: DataFrame, k: int = 5, shard_size: int = 4096, degree:
     distinct = cut(distinct)
     shards = max(1, math.ceil(distinct.count() / shard_size))
     dealt = distinct.withColumns({"dim": F.size("vec"), "hash": F.xxhash64("vec")}).withColumn("shard", F.pmod("hash", F.lit(shards)).cast("int"))
+    # by a stated number, as shards are few bytes but long work, and would else be put together in few tasks
+    dealt = dealt.repartition(min(4 * shards, 20_000), "dim", "shard")
     return cut(dealt.groupBy("dim", "shard").applyInPandas(_built(degree, beam, alpha), "dim int, shard int, pos int, ids array<long>, vec array<double>, edges array<int>, entry boolean"))
 
 
