@@ -159,6 +159,27 @@ def pattern_of(taken: np.ndarray, sizes: np.ndarray, w: int) -> np.ndarray:
     return pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse of a regular matrix by Gauss-Jordan steps with row pivots, in plain array arithmetic: no call into threaded BLAS or
+    LAPACK, whose threads may never come back in a process that has forked, such as a Spark driver's."""
+    n = len(matrix)
+    work = np.concatenate([matrix.astype(float), np.eye(n)], axis=1)
+    for i in range(n):
+        pivot = i + int(np.abs(work[i:, i]).argmax())
+        work[[i, pivot]] = work[[pivot, i]]
+        work[i] /= work[i, i]
+        factor = work[:, i].copy()
+        factor[i] = 0
+        some = np.flatnonzero(factor)
+        work[some] -= factor[some, None] * work[i]
+    return work[:, n:]
+
+
+def times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """matrix @ vector, without BLAS."""
+    return (matrix * vector).sum(axis=1)
+
+
 def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 2e-3, columns: int = 4) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often each is used in the linear program: uses sum to the least, within `gap`, that meets the demand.
 
@@ -167,8 +188,8 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
     """
     m = len(sizes)
     basis = np.diag(capacity // sizes).astype(float)
-    inverse = np.linalg.inv(basis)
-    uses, pivots = inverse @ demand, 0
+    inverse = inverted(basis)
+    uses, pivots = times(inverse, demand), 0
     while pivots < 40 * m + 40:
         prices = inverse.sum(axis=0)
         value, taken = knapsack(prices, sizes, capacity)
@@ -177,22 +198,22 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
         for i in np.argsort(-(prices + value[capacity - sizes]))[:columns].tolist():
             pattern = pattern_of(taken, sizes, int(capacity - sizes[i]))
             pattern[i] += 1
-            if inverse.sum(axis=0) @ pattern <= 1 + gap:
+            if float((inverse.sum(axis=0) * pattern).sum()) <= 1 + gap:
                 continue
-            change = inverse @ pattern
+            change = times(inverse, pattern)
             ratio = np.where(change > 1e-9, uses / np.where(change > 1e-9, change, 1), np.inf)
             out = int(ratio.argmin())
             basis[:, out] = pattern
             pivots += 1
             if pivots % 100 == 0:
-                inverse = np.linalg.inv(basis)
-                uses = np.maximum(inverse @ demand, 0)
+                inverse = inverted(basis)
+                uses = np.maximum(times(inverse, demand), 0)
             else:
                 step = ratio[out]
                 uses = np.maximum(uses - step * change, 0)
                 uses[out] = step
                 row = inverse[out] / change[out]
-                inverse -= np.outer(change, row)
+                inverse -= change[:, None] * row
                 inverse[out] = row
     return [(np.rint(basis[:, i]).astype(np.int64), float(uses[i])) for i in range(m)]
 
