@@ -97,10 +97,17 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int
     return edges, entries
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row by a power of two, so that its largest component lies between 1/2 and 1: squares of very small or large components
+    neither vanish nor overflow, and cosines keep every bit."""
+    most = np.abs(x).max(axis=1, initial=0.0)
+    return np.ldexp(x, -np.frexp(most)[1][:, None])
+
+
 def _built(degree: int, beam: int, alpha: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("hash", kind="stable").reset_index(drop=True)
-        x = np.array(rows["vec"].tolist(), dtype=np.float64)
+        x = scaled(np.array(rows["vec"].tolist(), dtype=np.float64))
         x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
         edges, entries = build_graph(x, degree, beam, alpha)
         return pd.DataFrame({"dim": rows["dim"], "shard": rows["shard"], "pos": np.arange(len(x)), "ids": rows["ids"], "vec": rows["vec"], "edges": list(edges.astype(np.int32)), "entry": np.isin(np.arange(len(x)), entries)})
@@ -115,11 +122,11 @@ def _searched(k: int, beam: int, batch: int = 256):
         if nodes.empty or queries.empty:
             return pd.DataFrame({c: pd.Series(dtype=t) for c, t in kinds.items()})
         nodes = nodes.sort_values("pos")
-        exact = np.array(nodes["vec"].tolist(), dtype=np.float64)
+        exact = scaled(np.array(nodes["vec"].tolist(), dtype=np.float64))
         norm = np.sqrt((exact * exact).sum(axis=1))
         x = (exact / norm[:, None]).astype(np.float32)
         edges, entries, ids = np.array(nodes["edges"].tolist(), dtype=np.int64), np.flatnonzero(nodes["entry"].to_numpy()), nodes["ids"].tolist()
-        q = np.array(queries["vec"].tolist(), dtype=np.float64)
+        q = scaled(np.array(queries["vec"].tolist(), dtype=np.float64))
         length = np.sqrt((q * q).sum(axis=1))
         out: list[tuple] = []
         for part in np.array_split(np.arange(len(q)), math.ceil(len(q) / batch)):
