@@ -303,23 +303,25 @@ def remove_repeats(docs: DataFrame, length: int = 200, frequent: int = 2_000) ->
 
 
 def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """The rows of `docs`, with all their columns: text without its repeated strings (and without characters that a cut has halved),
-    n_chars, where there is one, its new length. Null texts stay null."""
-    schema = docs.schema
-    marked = docs.withColumns({"__docloom_doc": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))), "__docloom_mark": _mark(F.coalesce("text", F.lit("")))})
-    runs = repeated_runs(docs, length).select(F.col("doc").alias("__docloom_doc"), F.col("mark").alias("__docloom_mark"), F.col("runs").alias("__docloom_runs"))
+    """The rows of `docs`, with all their columns, whatever their names: text without its repeated strings (and without characters that a cut
+    has halved), n_chars, where there is one, its new length. Null texts stay null. Repeated rows are other rows, so their texts go
+    if they are long enough. An empty table gives an empty result."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), _mark(text).alias("mark"), F.col("text").cast("string").alias("text"), F.struct(*(docs[f"`{c}`"] for c in docs.columns if c != "text")).alias("rest"))
+    joined = rows.join(repeated_runs(docs, length), ["doc", "mark"], "left").select("text", "runs", "rest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("__docloom_runs")):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("runs")):
                 if text is not None and spans.is_valid:
                     text = _kept_and_spans(text.encode(), spans.values.field(0).to_pylist(), spans.values.field(1).to_pylist(), length)[0].decode("utf-8", "ignore")
                 texts.append(text)
-            columns = {name: batch.column(name) for name in schema.names}
-            columns["text"] = pa.array(texts, columns["text"].type)
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return marked.join(runs, ["__docloom_doc", "__docloom_mark"], "left").select(*(F.col(f"`{c}`") for c in schema.names), "__docloom_runs").mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("rest")], ["text", "rest"])
+
+    rest = joined.schema["rest"].dataType.simpleString()
+    done = joined.mapInArrow(run, f"text string, rest {rest}")
+    new = {"text": F.col("text").cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*(new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns))
