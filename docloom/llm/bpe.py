@@ -3,7 +3,15 @@
 Texts are cut into words by the vocabulary's pattern. The distinct words that a Python worker has not met yet go, as rows of
 (word and position, token), into a recursive query: each round joins neighbours with the merge table, takes for each word the
 leftmost of its pairs of least rank, and contracts it; words without a pair leave the recursion. Words that are a token
-themselves need no merging. Decoding is a join of (document, position, id) rows with the vocabulary and an ordered
+themselves need no merging.
+
+Very long words are cut into parts of STAGE bytes, which are encoded like words of their own. A sequence of tokens is the
+encoding of its bytes if, and only if, the bytes of every two neighbours encode to these two: the first contraction ever to cross a
+border between tokens would cross it in those two alone as well. So only the seams between parts are looked at. A wrong seam is
+mended by encoding anew the few tokens around it, and one that stays wrong by a walk to the right, WALK bytes at a time, up to
+the first seam that is right. No query holds more than a bounded part of a word.
+
+Decoding is a join of (document, position, id) rows with the vocabulary and an ordered
 aggregation. Both tables have as many rows as the vocabulary makes, whatever the corpus.
 """
 
@@ -15,14 +23,15 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docloom.llm.common import id_and_text, pieces
 
-#: Position bits of a key: any length of a text fits. Words of more than STAGE bytes are merged on their own, in stages of so many rounds;
-#: those of more than LONG bytes by whole ranks.
-BITS, STAGE, LONG = 32, 64, 8192
+#: Position bits of a key: any length of a text fits. Words of more than STAGE bytes are merged in stages of so many rounds; those of more
+#: than LONG bytes in parts, which a walk of WALK bytes a step joins where their seams are wrong.
+BITS, STAGE, LONG, WALK = 32, 64, 1024, 8192
 
 #: Rows of state that a recursive query over long words may hold.
 MOST_STATES = 4_000_000
@@ -97,9 +106,12 @@ class Codec:
         # a token's bytes stand as characters of the same numbers, so that they aggregate as text
         self._table("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())}))
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        self.split = regex.compile(pattern).findall
+        self.split, self.match = regex.compile(pattern).findall, regex.compile(pattern).finditer
         self.words: dict[str, bytes] = {}
+        self.seams: dict[tuple[int, int], bool] = {}
+        self.tokens = {i: t for t, i in self.ranks.items()}
         self.most = most_held
+        self.by_chunks = pattern == public_tokenizers.PATTERN
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -128,6 +140,89 @@ class Codec:
             tokens = np.concatenate(left) if left else tokens[:0]
         return out
 
+    def _grouped(self, words: list[bytes], query: str = MERGE) -> list[bytes]:
+        """The ids of words, in queries of about 400,000 bytes."""
+        out, start = [], 0
+        while start < len(words):
+            size, stop = 0, start
+            while stop < len(words) and (stop == start or size + len(words[stop]) <= 400_000):
+                size += len(words[stop])
+                stop += 1
+            got = self._merged(words[start:stop], query)
+            out.extend(got[i] for i in range(stop - start))
+            start = stop
+        return out
+
+    def _right(self, left: list[int], right: list[int]) -> np.ndarray:
+        """Which pairs of neighbours encode to themselves."""
+        pairs = list(zip(left, right))
+        fresh = list(dict.fromkeys(p for p in pairs if p not in self.seams))
+        if len(self.seams) + len(fresh) > self.most:
+            self.seams.clear()
+            fresh = list(dict.fromkeys(pairs))
+        token = self.tokens
+        for pair, got in zip(fresh, self._grouped([token[a] + token[b] for a, b in fresh])):
+            self.seams[pair] = got == np.array(pair, dtype="<u4").tobytes()
+        return np.array([self.seams[p] for p in pairs], dtype=bool)
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+
+    def _long(self, word: bytes, around: int = 6) -> bytes:
+        """The ids of a very long word, put together from parts."""
+        parts = [np.frombuffer(p, dtype="<u4") for p in self._grouped([word[i : i + STAGE] for i in range(0, len(word), STAGE)])]
+        wrong = np.flatnonzero(~self._right([int(p[-1]) for p in parts[:-1]], [int(p[0]) for p in parts[1:]]))
+        # seams without a wrong seam beside them are mended at once, from a few tokens on either side
+        alone = [int(i) for i in wrong if len(parts[i]) > 2 * around and len(parts[i + 1]) > 2 * around]
+        mended = [np.frombuffer(m, dtype="<u4") for m in self._grouped([self._bytes(np.concatenate([parts[i][-around:], parts[i + 1][:around]])) for i in alone])]
+        good = self._right([int(parts[i][-around - 1]) for i in alone] + [int(m[-1]) for m in mended], [int(m[0]) for m in mended] + [int(parts[i + 1][around]) for i in alone]).reshape(2, -1).all(axis=0)
+        begin, end, between = [0] * len(parts), [len(p) for p in parts], {}
+        for i, m, fine in zip(alone, mended, good.tolist()):
+            if fine:
+                end[i], begin[i + 1], between[i] = end[i] - around, around, m
+        bad = set(wrong.tolist()).difference(between)
+        done: list[np.ndarray] = []
+        i = 0
+        while i < len(parts):
+            done.append(parts[i][begin[i] : end[i]])
+            if i in between:
+                done.append(between[i])
+            elif i in bad:
+                i = self._walk(done, parts, begin, end, between, i + 1)
+                continue
+            i += 1
+        return np.concatenate(done).tobytes()
+
+    def _walk(self, done: list[np.ndarray], parts: list[np.ndarray], begin: list[int], end: list[int], between: dict, i: int) -> int:
+        """Encodes on from a wrong seam, before part i, until a seam between parts is right; `done` then ends there. Returns the next part."""
+        while i < len(parts):
+            stop, more = i, []
+            size = 0
+            while stop < len(parts) and (not more or size < WALK):
+                more.append(parts[stop][begin[stop] : end[stop]])
+                if stop in between:
+                    more.append(between[stop])
+                size += STAGE
+                stop += 1
+            ahead = np.concatenate(more)
+            for back in (8, 64, 512, 4096, 1 << 62):
+                before, held = [], 0
+                while done and held < back:
+                    before.insert(0, done.pop())
+                    held += len(before[0])
+                tail = np.concatenate(before) if before else ahead[:0]
+                kept, again = (tail[:-back], tail[-back:]) if len(tail) > back else (tail[:0], tail)
+                new = np.frombuffer(self._merged([self._bytes(np.concatenate([again, ahead]))], MERGE_RANKS)[0], dtype="<u4")
+                if not len(kept) or self._right([int(kept[-1])], [int(new[0])])[0]:
+                    done.extend(x for x in (kept, new) if len(x))
+                    break
+                done.append(tail)
+            i = stop
+            # behind a mended seam the next part begins in its middle, but its seam is judged all the same
+            if i < len(parts) and self._right([int(done[-1][-1])], [int(parts[i][begin[i]])])[0]:
+                break
+        return i
+
     def _learn(self, words: set[str]) -> None:
         short, long, very_long = [], [], []
         for word in words:
@@ -136,31 +231,27 @@ class Codec:
                 self.words[word] = self.ranks[raw].to_bytes(4, "little")
             else:
                 (short if len(raw) <= STAGE else long if len(raw) <= LONG else very_long).append((word, raw))
-        for group, query in ((short, MERGE), (long, MERGE), (very_long, MERGE_RANKS)):
-            while group:
-                size = stop = 0
-                while stop < len(group) and (not stop or size + len(group[stop][1]) <= 400_000):
-                    size += len(group[stop][1])
-                    stop += 1
-                part, group = group[:stop], group[stop:]
-                got = self._merged([raw for _, raw in part], query)
-                for i, (word, _) in enumerate(part):
-                    self.words[word] = got[i]
+        for group in (short, long):
+            self.words.update(zip((word for word, _ in group), self._grouped([raw for _, raw in group])))
+        for word, raw in very_long:
+            self.words[word] = self._long(raw)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers.
 
-        A single space between two other characters that are not white space always starts a word of the pattern, so texts
-        without other runs of white space beside spaces are looked up in chunks between spaces.
+        A single space between two other characters that are not white space always starts a word of the public pattern, so texts
+        without other runs of white space beside spaces are looked up in chunks between spaces. With another pattern, texts are split whole.
         """
         parts = []
         for text in texts:
-            if _BESIDE(text) or text[:1] == " " or text[-1:] == " ":
+            if not self.by_chunks:
+                parts.append([m.group() for m in self.match(text)])
+            elif _BESIDE(text) or text[:1] == " " or text[-1:] == " ":
                 parts.append(self.split(text))
             else:
                 first, *rest = text.split(" ")
                 parts.append([first, *[f" {c}" for c in rest]] if first else [])
-        split = {c: self.split(c) for c in set().union(*parts)}
+        split = {c: self.split(c) if self.by_chunks else [c] for c in set().union(*parts)}
         fresh = set().union(*split.values()).difference(self.words)
         if len(self.words) + len(fresh) > self.most:
             self.words.clear()
