@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import ann, bpe, exact_dedup, language_id, minhash, packing, sharding, suffix_dedup, token_counts, url_filter
+from docloom.llm import ann, bpe, exact_dedup, language_id, minhash, packing, runs, sharding, suffix_dedup, token_counts, url_filter
 from docloom.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.collapse_runs(runs.repeated_tails(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
