@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import ann, bpe, exact_dedup, language_id, minhash, packing, runs, sharding, suffix_dedup, token_counts, url_filter
+from docloom.llm import ann, bpe, exact_dedup, language_id, lexical, minhash, packing, runs, sharding, suffix_dedup, token_counts, url_filter
 from docloom.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.collapse_runs(runs.repeated_tails(table(spark, sf_dir, "documents"))))
 
@@ -83,4 +87,13 @@ def oracle_sql() -> dict[str, str]:
             c AS (SELECT page_id, host, path, {_terms(dict.fromkeys(url_filter.STRICT, 1))} AS strict_hits, {_terms(dict.fromkeys(url_filter.SOFT, 1))} AS soft_hits, {_terms(url_filter.SOFT)} AS soft_weight FROM q)
             SELECT c.page_id, host, path, rule, coalesce(by_rule, CASE WHEN strict_hits > 0 OR soft_weight >= 3 THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits, soft_weight
             FROM c LEFT JOIN f ON c.page_id = f.page_id""",
+        "op11_ranked_search": r"""
+            WITH t AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+            b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+            s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM t WHERE len(ts) > 0),
+            p AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ts) AS term FROM t) WHERE term IN (SELECT term FROM b) GROUP BY r, term),
+            w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+            x AS (SELECT p.r, p.term, w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(t.ts) * n_docs) // n_terms))) AS part FROM p JOIN w USING (term) JOIN t ON t.r = p.r, s),
+            f AS (SELECT item_id, doc_id, CAST(score AS BIGINT) AS score FROM (SELECT b.item_id, x.r, sum(x.part) AS score FROM b JOIN x USING (term) GROUP BY b.item_id, x.r) g JOIN t ON t.r = g.r WHERE score > 0)
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM f QUALIFY rank <= 50""",
     }
