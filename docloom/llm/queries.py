@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import ann, bpe, exact_dedup, language_id, lexical, minhash, packing, runs, sharding, suffix_dedup, token_counts, url_filter
+from docloom.llm import ann, bpe, embedding_dedup, exact_dedup, language_id, lexical, minhash, packing, runs, sharding, suffix_dedup, token_counts, url_filter
 from docloom.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.collapse_runs(runs.repeated_tails(table(spark, sf_dir, "documents"))))
 
@@ -87,6 +91,12 @@ def oracle_sql() -> dict[str, str]:
             c AS (SELECT page_id, host, path, {_terms(dict.fromkeys(url_filter.STRICT, 1))} AS strict_hits, {_terms(dict.fromkeys(url_filter.SOFT, 1))} AS soft_hits, {_terms(url_filter.SOFT)} AS soft_weight FROM q)
             SELECT c.page_id, host, path, rule, coalesce(by_rule, CASE WHEN strict_hits > 0 OR soft_weight >= 3 THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits, soft_weight
             FROM c LEFT JOIN f ON c.page_id = f.page_id""",
+        "op12_embedding_near_dedup": """
+            WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+            l AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+            r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+            SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c.m AS component_id, e.vec_id = c.m AS kept
+            FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON e.vec_id = k.a JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) c ON e.vec_id = c.a""",
         "op11_ranked_search": r"""
             WITH t AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
             b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
