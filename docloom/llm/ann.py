@@ -29,7 +29,7 @@ def beam_search(x: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries:
     nodes[:, : len(entries)] = entries
     far[:, : len(entries)] = 1 - queries @ x[entries].T
     walked = nodes < 0
-    seen = np.zeros((b, len(x)), dtype=bool)
+    seen = np.zeros((b, len(x) + 1), dtype=bool)  # the last column stands for edges that are not there
     seen[:, entries] = True
     while True:
         order = np.argsort(far, axis=1, kind="stable")[:, :beam] if far.shape[1] > beam else np.argsort(far, axis=1, kind="stable")
@@ -41,7 +41,7 @@ def beam_search(x: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries:
         walked[np.arange(b), at] = True
         near = np.where(busy[:, None], edges[np.where(busy, nodes[np.arange(b), at], 0)], -1)
         fresh = (near >= 0) & ~seen[row, near]
-        seen[row, np.where(near >= 0, near, 0)] |= near >= 0
+        seen[row, near] = True
         d = np.where(fresh, 1 - np.einsum("qrd,qd->qr", x[near], queries), np.inf).astype(np.float32)
         nodes = np.concatenate([nodes, np.where(fresh, near, -1)], axis=1)
         far = np.concatenate([far, d], axis=1)
