@@ -250,7 +250,7 @@ def backlinks(spark, sf_dir):
     return found.select("doc_id", "chunk_id", F.array_join(F.transform("refs_in", lambda x: F.concat_ws("/", x["src_chunk_id"], x["ref_type"], x["raw_text"])), ";").alias("refs_in"))
 
 
-@query()
+@query(S.with_(S.LINKED + S.MENTIONED, "SELECT * FROM mentioned"))
 def mentions(spark, sf_dir):
     chunks = chunks_of(spark, sf_dir)
     return xref.mentions(chunks, xref.references(chunks, S.PHRASES))

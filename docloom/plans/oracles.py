@@ -117,6 +117,25 @@ CHUNKED = PARSED + CHUNKS
 LINKED = CHUNKED + INDEXES + REFS + CUES + NAMED + edges("01234")
 
 
+# titles as runs of pieces (words and what stands between them); the spans that count, one after the other, by recursion
+_PIECES = r"regexp_extract_all({0}, '[\pL\pN_]+|[^\pL\pN_]+')"
+MENTIONED = rf"""
+    voc AS (SELECT doc_id, lower(title) AS gram, len({_PIECES.format('title')}) AS size, min((-len(norm), title)) AS rank FROM (SELECT *, {norm_title('title')} AS norm FROM chunks) WHERE len(norm) >= 6 AND norm NOT IN ('introduction', 'overview', 'scope', 'general', 'notes', 'definitions', 'description', 'references', 'requirements') GROUP BY ALL),
+    cut AS (SELECT doc_id, chunk_id, {_PIECES.format('text')} AS p FROM chunks),
+    sized AS (SELECT c.*, s.size FROM cut c JOIN (SELECT DISTINCT doc_id, size FROM voc) s ON c.doc_id = s.doc_id),
+    placed AS (SELECT doc_id, chunk_id, size, i - 1 AS place, array_to_string(p[i:i + size - 1], '') AS name FROM (SELECT *, unnest(range(1, len(p) - size + 2)) AS i FROM sized)
+               WHERE (i > 1 OR regexp_matches(p[i], '^[\pL\pN_]')) AND (i + size - 1 < len(p) OR regexp_matches(p[i + size - 1], '^[\pL\pN_]'))),
+    cands AS (SELECT p.doc_id, p.chunk_id, p.place, arg_min(p.size, v.rank) AS size, arg_min(p.name, v.rank) AS name FROM placed p JOIN voc v ON p.doc_id = v.doc_id AND p.size = v.size AND lower(p.name) = v.gram GROUP BY p.doc_id, p.chunk_id, p.place),
+    following AS (SELECT c.doc_id, c.chunk_id, c.place, c.name, c.place + c.size AS stop, (SELECT min(d.place) FROM cands d WHERE d.doc_id = c.doc_id AND d.chunk_id = c.chunk_id AND d.place >= c.place + c.size) AS nxt FROM cands c),
+    walk AS (SELECT * FROM following f WHERE f.place = (SELECT min(d.place) FROM cands d WHERE d.doc_id = f.doc_id AND d.chunk_id = f.chunk_id) UNION ALL SELECT f.* FROM walk w JOIN following f ON f.doc_id = w.doc_id AND f.chunk_id = w.chunk_id AND f.place = w.nxt),
+    m0 AS (SELECT w.doc_id, w.chunk_id, w.place, w.name, {norm_title('w.name')} AS norm, {norm_title('c.title')} AS own FROM walk w JOIN chunks c ON c.doc_id = w.doc_id AND c.chunk_id = w.chunk_id),
+    m1 AS (SELECT doc_id, chunk_id, norm, min(place) AS place, arg_min(name, place) AS name FROM m0 WHERE norm <> '' AND norm <> own GROUP BY doc_id, chunk_id, norm),
+    m2 AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_id ORDER BY place) AS pos FROM m1 QUALIFY pos <= 40),
+    m3 AS (SELECT src_chunk_id AS chunk_id, doc_id, dst_chunk_id AS dest, row_number() OVER (PARTITION BY doc_id, src_chunk_id ORDER BY edge_ord) AS ref_pos, ref_text, resolved FROM edges),
+    mentioned AS (SELECT m2.doc_id, m2.chunk_id, CAST(pos AS INTEGER) AS mention_pos, name, 'title_vocab' AS source, t.dest AS canonical_id FROM m2 LEFT JOIN title_idx t ON t.doc_id = m2.doc_id AND t.norm = m2.norm
+                  UNION ALL SELECT doc_id, chunk_id, CAST(40 + min(ref_pos) AS INTEGER), arg_min(ref_text, ref_pos), 'xref', dest FROM m3 WHERE resolved GROUP BY doc_id, chunk_id, dest),"""
+
+
 def with_(ctes: str, select: str) -> str:
     return f"WITH RECURSIVE {ctes.strip().rstrip(',')} {select}"
 
