@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.operators import markdown
+from docloom.operators.ordering import numbered_within
 
 
 def _let(value: Column, use) -> Column:
@@ -107,9 +108,13 @@ def chunk_documents(docs: DataFrame, target_tokens: int = 1200, max_tokens: int
 
 
 def numbered(parts: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
-    """Chunk records from parts, numbered from 1 within the scope."""
+    """Chunk records from parts, numbered from 1 within a scope that one task can hold."""
+    return records(parts.withColumn("order", F.row_number().over(Window.partitionBy(*scope).orderBy(*order))))
+
+
+def records(rows: DataFrame) -> DataFrame:
+    """Chunk records from numbered parts."""
     trail = F.array_join("breadcrumb", " > ")
-    rows = parts.withColumn("order", F.row_number().over(Window.partitionBy(*scope).orderBy(*order)))
     return rows.select(
         "doc_id", "order", T.chunk_id(F.col("order"), F.col("number"), F.col("title"), trail, F.col("part")).alias("chunk_id"), "title", trail.alias("breadcrumb"), F.col("number").alias("section_no"), "level", "part", "n_parts",
         T.token_count(F.col("text")).alias("token_count"), "text", F.lit(None).cast("int").alias("page_start"), F.lit(None).cast("int").alias("page_end"), "source_path", "original_name",
@@ -131,7 +136,8 @@ def chunk_files(files: DataFrame, target_tokens: int = 1200, max_tokens: int = 1
     shown = F.concat(F.coalesce(F.concat("number", F.lit(" ")), F.lit("")), F.col("title"))
     sections = raw.select("collection_id", "doc_id", F.col("path").alias("source_path"), "original_name", F.lit(1).alias("level"), shown.alias("raw_title"), "title", "number", F.array("title").alias("breadcrumb")).join(bodies, "doc_id")
     parts = section_parts(sections, target_tokens, max_tokens, prepend_breadcrumb)
-    return numbered(parts.withColumn("doc_id", F.col("collection_id")), ["collection_id"], ["source_path", "part"])
+    # a collection may hold most of the files, so its running order is made over many partitions
+    return records(numbered_within(parts.withColumn("doc_id", F.col("collection_id")), ["collection_id"], ["source_path", "part"], "order").withColumn("order", F.col("order").cast("int")))
 
 
 def documents_frame(chunks: DataFrame) -> DataFrame:

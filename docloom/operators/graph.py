@@ -9,19 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.adjacency import Adjacency, write_adjacency
 from docloom.operators.lineage import cut
 
 HITS = ["query_id", "chunk_id", "hop", "direction", "via", "edge_type", "score", "found_pos"]
 
 
-def doubled(edges: DataFrame) -> DataFrame:
-    """Every resolved edge with both ends, once in each direction: node, neighbour, dir (0 out, 1 in), edge_ord, via, edge_type, weight."""
-    good = edges.where("resolved and coalesce(src_chunk_id, '') <> '' and coalesce(dst_chunk_id, '') <> ''")
-    rest = ["edge_ord", F.col("ref_text").alias("via"), "edge_type", F.coalesce("weight", F.lit(1.0)).alias("weight")]
-    out = good.select(F.col("src_chunk_id").alias("node"), F.col("dst_chunk_id").alias("neighbour"), F.lit(0).alias("dir"), *rest)
-    return out.unionByName(good.select(F.col("dst_chunk_id").alias("node"), F.col("src_chunk_id").alias("neighbour"), F.lit(1).alias("dir"), *rest))
-
-
 def _admitted(found: DataFrame, spent: DataFrame, budget: int) -> DataFrame:
     """Of each query's candidates in order, those that the budget admits: one that would exceed it is skipped, and later ones are
     still tried; the first hit of a query always enters. This is sequential by meaning, so it is a fold over a query's own frontier."""
@@ -41,18 +34,19 @@ def _admitted(found: DataFrame, spent: DataFrame, budget: int) -> DataFrame:
     return found.join(folded, ["query_id", "chunk_id"])
 
 
-def expand(edges: DataFrame, seeds: DataFrame, costs: DataFrame | None = None, depth: int = 2, decay: float = 0.5, budget: int = 0) -> DataFrame:
+def expand(edges: DataFrame | Adjacency, seeds: DataFrame, costs: DataFrame | None = None, depth: int = 2, decay: float = 0.5, budget: int = 0) -> DataFrame:
     """Breadth-first hits of every query, HITS by column: each node at its first discovery (earlier parents first, outgoing before
     incoming edges, then edge order); the score is the parent's times decay**hop times the edge's weight. Seeds are never hits. With a
     budget above 0, hits are admitted while their costs (node, cost; unknown nodes cost 0) fit. Each hop is checkpointed, so that the plan
-    of one does not hold those of all before it; an empty frontier ends the walk."""
-    both = cut(doubled(edges))
+    of one does not hold those of all before it; an empty frontier ends the walk. Edges are written once in buckets by node, if they are
+    not an adjacency already, so that a hop exchanges its frontier alone."""
+    graph = edges if isinstance(edges, Adjacency) else write_adjacency(edges)
     frontier = seeds.select("query_id", F.col("node").alias("node"), F.col("pos").cast("long").alias("parent_pos"), F.col("score").cast("double").alias("score"))
     frontier = cut(frontier)
     visited = frontier.select("query_id", F.col("node").alias("chunk_id")).distinct()
     hits = None
     for hop in range(1, depth + 1):
-        reached = frontier.join(both, "node").select("query_id", F.col("neighbour").alias("chunk_id"), "dir", "edge_ord", "via", "edge_type", "parent_pos", (F.col("score") * decay**hop * F.col("weight")).alias("score"))
+        reached = graph.step(frontier).select("query_id", F.col("neighbour").alias("chunk_id"), "dir", "edge_ord", "via", "edge_type", "parent_pos", (F.col("score") * decay**hop * F.col("weight")).alias("score"))
         fresh = reached.join(visited, ["query_id", "chunk_id"], "left_anti")
         order = ["parent_pos", "dir", "edge_ord"]
         first = fresh.withColumn("n", F.row_number().over(Window.partitionBy("query_id", "chunk_id").orderBy(*order))).where("n = 1").drop("n")
@@ -68,6 +62,8 @@ def expand(edges: DataFrame, seeds: DataFrame, costs: DataFrame | None = None, d
         frontier = found.select("query_id", F.col("chunk_id").alias("node"), F.col("found_pos").alias("parent_pos"), "score")
         if hop < depth and frontier.isEmpty():
             break
+    if graph is not edges:
+        graph.forget()  # all hits are checkpoints
     return hits.select(*HITS)
 
 
