@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators.lineage import checkpoint_folder, cut
+from docloom.operators.lineage import checkpoint_folder, cut, qualified
 
 COLUMNS = ["node", "part", "neighbour", "dir", "edge_ord", "via", "edge_type", "weight"]
 EDGES = "node string, part int, neighbour string, dir int, edge_ord bigint, via string, edge_type string, weight double"
@@ -49,6 +49,7 @@ class Adjacency:
 
 def _registered(spark: SparkSession, folder: str, buckets: int) -> Adjacency:
     name = f"adjacency_{uuid.uuid4().hex}"
+    folder = qualified(spark, folder)
     where = f"{folder}/edges".replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({EDGES}) USING parquet CLUSTERED BY (node, part) SORTED BY (node, part) INTO {buckets} BUCKETS LOCATION '{where}'")
     return Adjacency(spark.table(name), spark.read.schema("node string, parts int").parquet(f"{folder}/hubs"), buckets, name)
@@ -59,7 +60,7 @@ def write_adjacency(edges: DataFrame, folder: str | None = None, buckets: int |
     folder. Unresolved edges, and those without both ends, are left out; no edges give an empty adjacency. `buckets` are by default as many as the
     session's shuffle partitions; a part holds about `most` edges of a node."""
     spark = edges.sparkSession
-    folder = folder or f"{checkpoint_folder(spark)}/adjacency-{uuid.uuid4().hex}"
+    folder = qualified(spark, folder or f"{checkpoint_folder(spark)}/adjacency-{uuid.uuid4().hex}")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = cut(doubled(edges))
     hubs = both.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > most).select("node", F.ceil(F.col("n") / most).cast("int").alias("parts"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import entities, graph, vectors, xref
+from docloom.operators import clustering, entities, graph, vectors, xref
+from docloom.operators.adjacency import write_adjacency
 from docloom.operators.lineage import cut
 from docloom.sources import readers, writers
 
@@ -36,6 +37,7 @@ class Settings:
     vector_dim: int = 64
     merge_threshold: float | None = None
     chunk_files: bool = False
+    max_cluster_size: int = 10
 
     def checked(self) -> Settings:
         """Fails, naming the value, where one has another type than its own or makes no sense."""
@@ -43,7 +45,7 @@ class Settings:
             value, allowed = getattr(self, name), {get_origin(k) or k for k in (get_args(kinds) if isinstance(kinds, UnionType) else [kinds])}
             if not (type(value) in allowed or (type(value) is int and float in allowed)):
                 raise ValueError(f"{name} must be {' or '.join(sorted(k.__name__ for k in allowed))}, not {type(value).__name__}")
-        for name in ("target_tokens", "max_tokens", "context_window", "vector_dim"):
+        for name in ("target_tokens", "max_tokens", "context_window", "vector_dim", "max_cluster_size"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be 1 or more")
         if self.max_tokens < self.target_tokens:
@@ -87,7 +89,7 @@ def build(spark: SparkSession, chunks: DataFrame, path: str, settings: Settings)
         canonical = entities.merged_by_vectors(canonical, keyed, settings.merge_threshold)
     aliases = cut(entities.aliases(names, canonical))
     related = cut(entities.co_occurrence(found.select(F.col("unit_id").alias("group_id"), F.col("title").alias("item"))))
-    communities = graph.label_propagation(related)
+    communities = clustering.clusters(related, settings.max_cluster_size)
     units = done.select(node().alias("id"), node().alias("human_readable_id"), "text", node().alias("document_id"), F.array(node()).alias("document_ids"))
     tables = {
         "entities": titles,
@@ -100,9 +102,13 @@ def build(spark: SparkSession, chunks: DataFrame, path: str, settings: Settings)
     }
     if settings.claims:
         tables["covariates"] = entities.claims(done)
-    if settings.chunk_files:
-        writers.chunk_files(done, f"{path}/chunks")
-    return writers.bundle(spark, path, done, edges, tables, {"n_folded_names": entities.n_folded(aliases)})
+    facts = {"n_folded_names": entities.n_folded(aliases)}
+    with writers.replacing(spark, path) as fresh:
+        if settings.chunk_files:
+            writers.chunk_files(done, f"{fresh}/chunks")
+        whole = [F.concat_ws("/", F.col("doc_id").cast("string"), c).alias(c) for c in ("src_chunk_id", "dst_chunk_id")]
+        write_adjacency(edges.where("resolved").select(*whole, *(c for c in edges.columns if c not in ("doc_id", "src_chunk_id", "dst_chunk_id"))), f"{fresh}/adjacency").forget()
+        return writers.bundle(spark, fresh, done, edges, tables, facts)
 
 
 def entity_units(kb: readers.KnowledgeBase) -> DataFrame:
@@ -133,8 +139,10 @@ def retrieve(kb: readers.KnowledgeBase, queries: DataFrame, settings: Settings,
     seeds = cut(graph.seed_scores(unit.select("query_id", "node", pos.alias("pos"))))
     keys = entities.folded(near.select("query_id", "title"), "title", kb.aliases).select("query_id", "key").distinct()
     costs = kb.chunks.select(node().alias("node"), F.col("token_count").alias("cost"))
-    whole = [F.concat_ws("/", F.col("doc_id").cast("string"), c).alias(c) for c in ("src_chunk_id", "dst_chunk_id")]
-    edges = kb.edges.where("resolved").select(*whole, *(c for c in kb.edges.columns if c not in ("doc_id", "src_chunk_id", "dst_chunk_id")))
+    edges = kb.adjacency
+    if edges is None:  # a knowledge base made elsewhere
+        whole = [F.concat_ws("/", F.col("doc_id").cast("string"), c).alias(c) for c in ("src_chunk_id", "dst_chunk_id")]
+        edges = kb.edges.where("resolved").select(*whole, *(c for c in kb.edges.columns if c not in ("doc_id", "src_chunk_id", "dst_chunk_id")))
     hits = graph.expand(edges, seeds, costs, settings.expand_depth, settings.hop_decay, int(settings.budget_share * settings.context_window))
     mentioned = entities.folded(kb.chunks.select(node().alias("chunk_id"), F.explode("mentioned_entities.name").alias("name")), "name", kb.aliases).select("chunk_id", "key").distinct()
     hits = graph.boosted(hits, mentioned, keys, settings.mention_boost)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom import schemas
 from docloom.functions import text as T
 from docloom.operators import markdown
+from docloom.operators.adjacency import open_adjacency
 
 CHUNK_SUFFIXES = [".md", ".markdown", ".txt", ".text", ""]
 
@@ -91,7 +92,7 @@ def mapped_units(units: DataFrame, prefixes: DataFrame, known: DataFrame) -> Dat
 
 def unit_ids(units: DataFrame) -> DataFrame:
     """(id, chunk_id) of text units: under their id and, where there is one, their readable id; the chunk is the first of
-    document_ids, else document_id. Where both ids of different units agree, the last row's counts in no particular order."""
+    document_ids, else document_id. Where both ids of different units agree, the greatest chunk id counts."""
     first = F.lit(None).cast("string")
     if "document_id" in units.columns:
         first = F.nullif(F.col("document_id").cast("string"), F.lit(""))
@@ -116,6 +117,7 @@ class KnowledgeBase:
         self.entity_units = optional(spark, f"{path}/entity_units.parquet")
         self.edges = optional(spark, f"{path}/cross_references.parquet", schemas.EDGE)
         self.aliases = optional(spark, f"{path}/entity_aliases.parquet", schemas.ALIAS)
+        self.adjacency = open_adjacency(spark, f"{path}/adjacency") if optional(spark, f"{path}/adjacency/made") is not None else None
         self.chunks = manifest(spark, f"{path}/chunks_manifest.jsonl")
 
     def register(self, prefix: str = "kb_") -> None:

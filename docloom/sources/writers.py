@@ -2,46 +2,116 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from docloom import schemas
+from docloom.operators.lineage import qualified
 
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def chunk_files(chunks: DataFrame, path: str) -> None:
-    """A folder for each chunk with exactly its text in one file; what an earlier run left is replaced.
-
-    Spark's text sink ends every row with a separator, so tasks write the files themselves. A task that is run again
-    writes the same files. Folders are named like partitions; a null id is `__HIVE_DEFAULT_PARTITION__`, a null text an empty file.
-    """
-    spark = chunks.sparkSession
-    given = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = given.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.delete(given, True)
-    # qualified, so that tasks never take a path of a shared file system for a local one
-    root = system.makeQualified(given).toUri().toString()
-    root = root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside `path` to write into. When all is written it takes the place of `path` by renaming; if anything fails it goes, and what an earlier
+    run left stays whole. Where a file system renames piece by piece, as object stores do, so does this."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    token = uuid.uuid4().hex
+    target, fresh, old = (Path(f"{path.rstrip('/')}{end}") for end in ("", f".fresh-{token}", f".old-{token}"))
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        yield fresh.toString()
+        system.mkdirs(fresh)
+        if system.exists(target) and not system.rename(target, old):
+            raise OSError(f"{path} could not be set aside")
+        if not system.rename(fresh, target):
+            system.rename(old, target)
+            raise OSError(f"{path} could not be replaced")
+        system.delete(old, True)
+    finally:
+        system.delete(fresh, True)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: int
+
+
+class ChunkFileWriter(DataSourceArrowWriter):
+    """Tasks write files into a folder of this job; the commit puts it in the place of the target, an abort removes it. (A task that
+    is still writing when the job is aborted may leave files in that folder, never in the target.)"""
+
+    def __init__(self, root: str):
+        self.root, self.token = root.rstrip("/"), uuid.uuid4().hex
+
+    def _place(self):
         from pyarrow import fs
 
-        files, base = fs.FileSystem.from_uri(root)
-        for batch in batches:
+        files, base = fs.FileSystem.from_uri(self.root)
+        return files, base, f"{base}.fresh-{self.token}", f"{base}.old-{self.token}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        files, _, fresh, _ = self._place()
+        n = 0
+        for batch in iterator:
             for row in batch.to_pylist():
                 doc, chunk = (_NO_VALUE if row[name] is None else quote(str(row[name]), safe="") for name in ("doc_id", "chunk_id"))
-                folder = f"{base}/doc_id={doc}/chunk_id={chunk}"
+                folder = f"{fresh}/doc_id={doc}/chunk_id={chunk}"
                 files.create_dir(folder, recursive=True)
                 with files.open_output_stream(f"{folder}/part-0.md") as out:
                     out.write((row["text"] or "").encode())
-            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+                n += 1
+        return Written(n)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        from pyarrow import fs
+
+        files, base, fresh, old = self._place()
+        files.create_dir(fresh, recursive=True)
+        there = files.get_file_info(base).type != fs.FileType.NotFound
+        if there:
+            files.move(base, old)
+        files.move(fresh, base)
+        if there:
+            files.delete_dir(old)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        from pyarrow import fs
 
-    chunks.select("doc_id", "chunk_id", "text").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+        files, _, fresh, _ = self._place()
+        if files.get_file_info(fresh).type != fs.FileType.NotFound:
+            files.delete_dir(fresh)
+
+
+class ChunkFiles(DataSource):
+    """Sink of (doc_id, chunk_id, text): a folder for each chunk with exactly its text in one file. Option: root."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "docloom_chunk_files"
+
+    def writer(self, schema, overwrite: bool) -> ChunkFileWriter:
+        return ChunkFileWriter(self.options["root"])
+
+
+def chunk_files(chunks: DataFrame, path: str) -> None:
+    """A folder for each chunk with exactly its text in one file; what an earlier run left is replaced when all files are there, and stays whole if a
+    task fails.
+
+    Spark's text sink ends every row with a separator, so tasks write the files themselves, through a data source of ours. A task that is run again
+    writes the same files. Folders are named like partitions; a null id is `__HIVE_DEFAULT_PARTITION__`, a null text an empty file.
+    """
+    spark = chunks.sparkSession
+    spark.dataSource.register(ChunkFiles)
+    chunks.select(*(F.col(c).cast("string").alias(c) for c in ("doc_id", "chunk_id", "text"))).write.format("docloom_chunk_files").option("root", qualified(spark, path)).mode("overwrite").save()
 
 
 def manifest(chunks: DataFrame, path: str) -> None:
