@@ -1,8 +1,8 @@
 """Near-duplicate documents by circulant MinHash, bands, and an exact check of full shingle sets.
 
 A document's set holds its distinct word shingles as 64-bit hashes. A first permutation scatters them over 32-bit positions; a
-second one, shifted by k, gives coordinate k of the signature, so that two permutations make all coordinates. Both are
-bijections of the hash space. Coordinates are folded into bands. The numbers of rows and bands follow from the threshold: a
+second one, shifted by k, gives coordinate k of the signature, so that two permutations make all coordinates. The
+first is a bijection of the hash space, of whose values the upper 32 bits count; the second is one of these. Coordinates are folded into bands. The numbers of rows and bands follow from the threshold: a
 pair just at it shares a band with a probability of at least 1 - `miss`.
 
 Equal sets become one class at once. Within a band's bucket, pairs are not all emitted: first every member is checked against the
@@ -117,7 +117,7 @@ def _sketch(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1 << 20):
             counts, digests, signatures = [], [], []
             for shingles in shingle_sets(*bytes_of(batch.column("text")), size):
                 counts.append(len(shingles))
@@ -133,7 +133,7 @@ def _sketch(size: int, bands: int, rows: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1 << 20):
             sets = [s.tobytes() for s in shingle_sets(*bytes_of(batch.column("text")), size)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
 
