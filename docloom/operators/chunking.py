@@ -141,7 +141,7 @@ def chunk_files(files: DataFrame, target_tokens: int = 1200, max_tokens: int = 1
 
 
 def documents_frame(chunks: DataFrame) -> DataFrame:
-    """The frame that an indexer reads: id, title, text, creation_date and the chunk's provenance."""
-    keys = ["chunk_id", "section_no", "breadcrumb", "level", "part", "n_parts", "page_start", "page_end"]
+    """The frame that an indexer reads: id, title, text, creation_date and the chunk's provenance; a row's key is raw_data.doc_id and id."""
+    keys = ["doc_id", "chunk_id", "section_no", "breadcrumb", "level", "part", "n_parts", "page_start", "page_end"]
     title = F.coalesce(F.nullif("breadcrumb", F.lit("")), F.nullif("title", F.lit("")), F.col("chunk_id"))
     return chunks.select(F.col("chunk_id").alias("id"), title.alias("title"), "text", F.lit("").alias("creation_date"), F.struct(*keys).alias("raw_data"))

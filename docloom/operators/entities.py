@@ -63,9 +63,10 @@ def claims(chunks: DataFrame, mentions: DataFrame | None = None) -> DataFrame:
     return found.join(first, ["doc_id", "chunk_id"], "left").select("doc_id", "chunk_id", "pos", F.coalesce("first", "title").alias("subject"), "statement")
 
 
-def described(extracted: DataFrame, most: int = 5) -> DataFrame:
-    """(title, description): the first distinct descriptions of each entity (title, ord, description), joined."""
-    ranked = extracted.groupBy("title", "description").agg(F.min("ord").alias("ord")).withColumn("n", F.row_number().over(Window.partitionBy("title").orderBy("ord"))).where(F.col("n") <= most)
+def described(extracted: DataFrame, most: int | None = None) -> DataFrame:
+    """(title, description): the distinct descriptions of each entity (title, ord, description) in order, joined; the first `most` only, if that is given."""
+    ranked = extracted.groupBy("title", "description").agg(F.min("ord").alias("ord")).withColumn("n", F.row_number().over(Window.partitionBy("title").orderBy("ord")))
+    ranked = ranked if most is None else ranked.where(F.col("n") <= most)
     return ranked.groupBy("title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "description"))), lambda x: x["description"]), " ").alias("description"))
 
 
@@ -75,3 +76,9 @@ def community_reports(communities: DataFrame, edges: DataFrame) -> DataFrame:
     inside = edges.join(communities.select(F.col("node").alias("a"), F.col("community").alias("ca")), "a").join(communities.select(F.col("node").alias("b"), F.col("community").alias("cb")), "b").where("ca = cb").groupBy(F.col("ca").alias("community")).agg(F.count("*").alias("n_edges"))
     done = sizes.join(inside, "community", "left").fillna({"n_edges": 0})
     return done.withColumn("report", F.concat(F.lit("Community "), F.col("community").cast("string"), F.lit(" has "), F.col("size").cast("string"), F.lit(" members and "), F.col("n_edges").cast("string"), F.lit(" relationships.")))
+
+
+def ordered_types(rows: DataFrame) -> DataFrame:
+    """(types,), one row: every type of rows (side, pos, type) once, joined by commas in the order of their first places, side before pos."""
+    first = rows.where("type is not null").groupBy("type").agg(F.min(F.struct("side", "pos")).alias("place"))
+    return first.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "type"))), lambda x: x["type"]), ",").alias("types"))

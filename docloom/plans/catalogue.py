@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import chunking, entities, graph, markdown, vectors, xref
+from docloom.operators import chunking, clustering, entities, graph, markdown, vectors, xref
+from docloom.operators.ordering import numbered_within
 from docloom.plans import oracles as S
-from docloom.plans.knowledge_base import entity_types
 from docloom.plans.spec_tables import alias_names, graph_edges, graph_seeds, spec_documents, table
 from docloom.sources import readers
 
@@ -84,9 +84,12 @@ def call_stats_by_type(spark, sf_dir):
     return counted.withColumn("in_flight", F.greatest(F.lit(0), F.col("started") - F.col("done")))
 
 
-@query("SELECT array_to_string(list_distinct_ordered, ',') AS types FROM (SELECT ['product', 'field', 'person', 'command'] AS list_distinct_ordered)")
+@query("""SELECT string_agg(type, ',' ORDER BY place) AS types FROM (SELECT type, min((side, pos)) AS place FROM (SELECT lang AS type, 0 AS side, doc_id AS pos FROM documents UNION ALL SELECT source, 1, doc_id FROM documents) WHERE type IS NOT NULL GROUP BY type)""")
 def entity_types_distinct(spark, sf_dir):
-    return spark.range(1).select(F.lit(",".join(entity_types(["product", "field", "person"], ["field", "command", "product"]))).alias("types"))
+    """Two lists of types, here the languages and the sources of documents, as one in which each stands once."""
+    docs = table(spark, sf_dir, "documents")
+    sides = [docs.select(F.lit(side).alias("side"), F.col("doc_id").alias("pos"), F.col(c).alias("type")) for side, c in enumerate(("lang", "source"))]
+    return entities.ordered_types(sides[0].unionByName(sides[1]))
 
 
 # Markdown
@@ -153,8 +156,7 @@ def chunk_ids(spark, sf_dir):
 @query(S.with_(S.CHUNKED, "SELECT doc_id, chunk_id AS id, breadcrumb AS title, text, '' AS creation_date, chunk_id AS raw_chunk_id, section_no AS raw_section_no FROM chunks"))
 def documents_frame(spark, sf_dir):
     chunks = chunks_of(spark, sf_dir)
-    framed = chunking.documents_frame(chunks).join(chunks.select("doc_id", F.col("chunk_id").alias("id"), F.col("order").alias("o")), "id")
-    return framed.select("doc_id", "id", "title", "text", "creation_date", F.col("raw_data.chunk_id").alias("raw_chunk_id"), F.col("raw_data.section_no").alias("raw_section_no")).distinct()
+    return chunking.documents_frame(chunks).select(F.col("raw_data.doc_id").alias("doc_id"), "id", "title", "text", "creation_date", F.col("raw_data.chunk_id").alias("raw_chunk_id"), F.col("raw_data.section_no").alias("raw_section_no"))
 
 
 @query()
@@ -408,6 +410,19 @@ def community_reports(spark, sf_dir):
     return entities.community_reports(graph.label_propagation(edges, rounds=3), edges)
 
 
+@query()
+def community_levels(spark, sf_dir):
+    """Parts and suppliers as communities by modularity, split until none has more than ten members."""
+    edges = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b"), F.lit(1.0).alias("weight"))
+    return clustering.clusters(edges, most=10, rounds=6)
+
+
+@query("SELECT l_returnflag, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS n FROM lineitem")
+def running_numbers(spark, sf_dir):
+    """The running order of the items of each return flag, of which there are few and large ones."""
+    return numbered_within(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "n")
+
+
 _WHOLE_COMMUNITIES = "e AS (SELECT DISTINCT l_partkey AS a, 1000000 + l_suppkey AS b FROM lineitem), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), c0 AS (SELECT DISTINCT a AS node, a AS c FROM u)," + "".join(
     f" c{i + 1} AS (SELECT l.node, least(l.c, min(n.c)) AS c FROM c{i} l JOIN u ON u.a = l.node JOIN c{i} n ON n.node = u.b GROUP BY l.node, l.c)," for i in range(5)
 )
@@ -427,7 +442,7 @@ def community_reports_whole(spark, sf_dir):
     return entities.community_reports(graph.label_propagation(edges), edges)
 
 
-@query("""SELECT p_brand AS title, string_agg(description, ' ' ORDER BY ord) AS description FROM (SELECT p_brand, p_type AS description, min(p_partkey) AS ord FROM part GROUP BY p_brand, p_type QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY min(p_partkey)) <= 5) GROUP BY p_brand""")
+@query("""SELECT p_brand AS title, string_agg(description, ' ' ORDER BY ord) AS description FROM (SELECT p_brand, p_type AS description, min(p_partkey) AS ord FROM part GROUP BY p_brand, p_type) GROUP BY p_brand""")
 def described_entities(spark, sf_dir):
     return entities.described(table(spark, sf_dir, "part").select(F.col("p_brand").alias("title"), F.col("p_partkey").alias("ord"), F.col("p_type").alias("description")))
 

@@ -38,6 +38,7 @@ class Settings:
     merge_threshold: float | None = None
     chunk_files: bool = False
     max_cluster_size: int = 10
+    descriptions: int = 5
 
     def checked(self) -> Settings:
         """Fails, naming the value, where one has another type than its own or makes no sense."""
@@ -45,7 +46,7 @@ class Settings:
             value, allowed = getattr(self, name), {get_origin(k) or k for k in (get_args(kinds) if isinstance(kinds, UnionType) else [kinds])}
             if not (type(value) in allowed or (type(value) is int and float in allowed)):
                 raise ValueError(f"{name} must be {' or '.join(sorted(k.__name__ for k in allowed))}, not {type(value).__name__}")
-        for name in ("target_tokens", "max_tokens", "context_window", "vector_dim", "max_cluster_size"):
+        for name in ("target_tokens", "max_tokens", "context_window", "vector_dim", "max_cluster_size", "descriptions"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be 1 or more")
         if self.max_tokens < self.target_tokens:
@@ -79,7 +80,7 @@ def build(spark: SparkSession, chunks: DataFrame, path: str, settings: Settings)
     done, edges = cut(done), cut(edges)
     named = done.select("doc_id", "chunk_id", "breadcrumb", "order", F.posexplode("mentioned_entities").alias("pos", "m")).select("doc_id", "chunk_id", "breadcrumb", "order", "pos", F.col("m.name").alias("title"))
     found = cut(named.unionByName(done.select("doc_id", "chunk_id", "breadcrumb", "order", F.lit(-1).alias("pos"), "title")).select("*", node().alias("unit_id")))
-    told = entities.described(found.select("title", F.struct("doc_id", "order", "pos").alias("ord"), F.col("breadcrumb").alias("description")).where("description <> ''"))
+    told = entities.described(found.select("title", F.struct("doc_id", "order", "pos").alias("ord"), F.col("breadcrumb").alias("description")).where("description <> ''"), settings.descriptions)
     listed = found.groupBy("title").agg(F.min(F.struct("doc_id", "order", "pos")).alias("at")).join(told, "title", "left")
     titles = cut(listed.select(F.sha1("title").alias("id"), "title", F.col("at.order").cast("long").alias("ord"), F.coalesce("description", F.lit("")).alias("description"), vectors.hashed_vector(F.col("title"), settings.vector_dim).alias("vector")))
     names = titles.select(F.col("title").alias("name"), "ord", "id")
