@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
+import re
 import sys
 import time
 from contextlib import contextmanager
@@ -32,12 +34,16 @@ def phase(spark: SparkSession, name: str):
         log.info("%s: %dm%02ds", name, *divmod(seconds, 60))
 
 
+def resolved(path: str, folder: str) -> str:
+    """A path as seen from a folder; absolute ones, and those of a file system that they name, stay as they are."""
+    return path if os.path.isabs(path) or "://" in path else os.path.join(folder, path)
+
+
 def settings_from(path: str | None) -> plans.Settings:
-    """Settings from a JSON file of their names; unknown names are an error, ${VAR} stands for an environment variable."""
+    """Settings from a JSON file of their names; unknown names are an error, ${VAR} stands for an environment variable. The source and target that a
+    file names are seen from the file's folder."""
     if path is None:
         return plans.Settings()
-    import os
-    import re
 
     with open(path, encoding="utf-8") as file:
         text = file.read()
@@ -48,7 +54,11 @@ def settings_from(path: str | None) -> plans.Settings:
     unknown = set(given) - set(plans.Settings.__dataclass_fields__)
     if unknown:
         raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
-    return plans.Settings(**given).checked()
+    settings = plans.Settings(**given).checked()
+    for name in ("source", "target"):
+        if getattr(settings, name) is not None:
+            setattr(settings, name, resolved(getattr(settings, name), os.path.dirname(os.path.abspath(path))))
+    return settings
 
 
 def chunked(spark: SparkSession, source: str, kind: str, settings: plans.Settings):
@@ -63,8 +73,8 @@ def main(arguments: list[str] | None = None) -> int:
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("chunk", "build"):
         one = commands.add_parser(name)
-        one.add_argument("source")
-        one.add_argument("target")
+        one.add_argument("source", nargs="?", help="by default that of the settings")
+        one.add_argument("target", nargs="?", help="by default that of the settings")
         one.add_argument("--from", dest="kind", choices=["md", "chunks"], default="md")
     one = commands.add_parser("index")
     one.add_argument("source", help="a manifest of chunks that exists already")
@@ -78,6 +88,10 @@ def main(arguments: list[str] | None = None) -> int:
     asked = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     settings = settings_from(asked.settings)
+    if asked.command in ("chunk", "build"):
+        asked.source, asked.target = asked.source or settings.source, asked.target or settings.target
+        if not (asked.source and asked.target):
+            parser.error("a source and a target are needed, as arguments or in the settings")
     spark = SparkSession.builder.appName("docloom").getOrCreate()
     if asked.command == "chunk":
         with phase(spark, "chunk"):

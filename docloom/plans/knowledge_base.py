@@ -39,6 +39,8 @@ class Settings:
     chunk_files: bool = False
     max_cluster_size: int = 10
     descriptions: int = 5
+    source: str | None = None
+    target: str | None = None
 
     def checked(self) -> Settings:
         """Fails, naming the value, where one has another type than its own or makes no sense."""
