@@ -95,7 +95,7 @@ class VectorStore:
         step = 1_000_000
         some = rows.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(step)) < max(1, min(step, sample * step // n)))
         some = rows.limit(lists) if some.isEmpty() else some
-        some.groupBy(F.lit(1)).applyInPandas(_trained(lists, rounds), "list int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centroids")
+        some.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_trained(lists, rounds), "list int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centroids")
         store = cls(spark, path)
         placed = written(rows.mapInPandas(_nearest(store._sent(), 1), "id long, vec array<double>, list int"))
         crowded = placed.groupBy("list").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))  # `lists` rows
@@ -120,6 +120,7 @@ class VectorStore:
 
     def recall(self, queries: DataFrame, k: int, probes: int = 8) -> float:
         """The share of the true k nearest, by a search of all vectors, that a search finds."""
+        queries = queries.where("query_id is not null and vec is not null")
         every = vectors.top_k(self.lists().select("id", "vec"), queries, k).select("query_id", "id")
         n = every.count()
         return every.join(self.search(queries, k, probes).select("query_id", "id"), ["query_id", "id"]).count() / n if n else 1.0
