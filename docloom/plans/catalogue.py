@@ -414,7 +414,7 @@ def community_reports(spark, sf_dir):
 def community_levels(spark, sf_dir):
     """Parts and suppliers as communities by modularity, split until none has more than ten members."""
     edges = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b"), F.lit(1.0).alias("weight"))
-    return clustering.clusters(edges, most=10, rounds=6)
+    return clustering.clusters(edges, most=10, rounds=4)
 
 
 @query("SELECT l_returnflag, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) AS n FROM lineitem")
