@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import bytes_of, cut, mixed, pieces, shuffle_partitions
+from docloom.llm.lexical import BITS, bitmap_of
 
 GRAM = 64
 _BYTE = mixed(np.arange(256, dtype=np.uint64), 11)
@@ -91,17 +92,22 @@ def _parsed(length: int):
     return run
 
 
-def _surroundings(length: int):
+def _told(bits: bytes):
+    """Whether a key's bit is set."""
+    return lambda key: bits[key % BITS >> 3] >> (key & 7) & 1
+
+
+def _surroundings(length: int, sent):
     """The surroundings of all triggers whose key is not frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _told(sent.value)
         for batch in pieces(batches, "text"):
             found: dict[tuple, list] = {}
-            for doc, mark, text, runs, often in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark")), batch.column("text"), batch.column("runs"), batch.column("often").to_pylist()):
-                frequent = set(often or ())
+            for doc, mark, text, runs in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), batch.column("runs")):
                 raw, values = text.as_buffer().to_pybytes(), runs.values
                 for first, lead, windows, key in zip(*(values.field(i).to_pylist() for i in range(4))):
-                    if key in frequent:
+                    if frequent(key):
                         continue
                     found.setdefault((key, lead, windows, raw[first : first + windows - 1 + length]), []).append((doc, mark, first))
             places = [p for held in found.values() for p in held]
@@ -113,18 +119,18 @@ def _surroundings(length: int):
     return run
 
 
-def _digests(length: int):
+def _digests(length: int, sent):
     """The windows of triggers whose key is frequent: those that repeat within a batch as runs without a digest; the others one by one, by
     digest; and for each digest of the first kind a row without a place. The salt deals out rows without a digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _told(sent.value)
         for batch in pieces(batches, "text", 1 << 20):
             found: dict[bytes, list] = {}
-            for doc, mark, text, runs, often in zip(*(batch.column(c).to_pylist() for c in ("doc", "mark")), batch.column("text"), batch.column("runs"), batch.column("often").to_pylist()):
-                frequent = set(often or ())
+            for doc, mark, text, runs in zip(batch.column("doc").to_pylist(), batch.column("mark").to_pylist(), batch.column("text"), batch.column("runs")):
                 raw, values = text.as_buffer().to_pybytes(), runs.values
                 for first, windows, key in zip(*(values.field(i).to_pylist() for i in (0, 2, 3))):
-                    if key in frequent:
+                    if frequent(key):
                         found.setdefault(raw[first : first + windows - 1 + length], []).append((doc, mark, first))
             if not found:
                 continue
@@ -266,16 +272,16 @@ def repeated_runs(docs: DataFrame, length: int = 200, frequent: int = 2_000) ->
     same = Window.partitionBy("key", F.greatest("salt", F.lit(0))).orderBy("doc", "first")
     again = parsed.withColumns({"_before": F.lag("key").over(same), "_after": F.lead("key").over(same)}).where("salt <> 0 or _before is not null or _after is not null")
     runs = cut(again.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "lead", "windows", "key")).alias("runs")))
-    held = runs.select("doc", "mark", F.explode("runs.key").alias("key"))
-    many = cut(held.groupBy("key").agg(F.count("*").alias("times")).where(F.col("times") > frequent).select("key"))
-    # each text is told which of its own keys are frequent; the table of these keys may be of any size
-    often = held.join(many, "key", "left_semi").groupBy("doc", "mark").agg(F.collect_set("key").alias("often"))
+    many = runs.select(F.explode("runs.key").alias("term")).groupBy("term").agg(F.count("*").alias("times")).where(F.col("times") > frequent)
+    # a bitmap of fixed size, whatever the number of these keys; a key that shares a bit with one of them is judged by digests too, which is as right
+    bits = bitmap_of(many)
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
     # all columns go on, so that this join and that of the result share one exchange of the texts
-    joined = whole.join(runs.join(often, ["doc", "mark"], "left"), ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs", "often")
-    around = joined.mapInArrow(_surroundings(length), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
+    joined = whole.join(runs, ["doc", "mark"]).select("doc", "mark", "doc_id", "text", "runs")
+    around = joined.mapInArrow(_surroundings(length, sent), "key long, lead short, windows short, around binary, places array<struct<doc:long,mark:int,first:int>>")
     found = around.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "doc long, mark int, low long, high long")
-    if not many.isEmpty():
-        dealt = joined.where("often is not null").mapInArrow(_digests(length), "digest binary, salt short, doc long, mark int, low long, high long")
+    if any(bits):
+        dealt = joined.mapInArrow(_digests(length, sent), "digest binary, salt short, doc long, mark int, low long, high long")
         same = Window.partitionBy("digest", "salt").orderBy("doc", "low")
         known = dealt.withColumns({"_before": F.lag("salt").over(same), "_after": F.lead("salt").over(same)})
         found = found.unionByName(known.where("doc is not null and (digest is null or _before is not null or _after is not null)").select("doc", "mark", "low", "high"))
