@@ -11,20 +11,20 @@ border between tokens would cross it in those two alone as well. So only the sea
 mended by encoding anew the few tokens around it, and one that stays wrong by a walk to the right, WALK bytes at a time, up to
 the first seam that is right. No query holds more than a bounded part of a word.
 
-Decoding is a join of (document, position, id) rows with the vocabulary and an ordered
-aggregation. Both tables have as many rows as the vocabulary makes, whatever the corpus.
+Decoding is a join of (position, id) rows with the vocabulary and an ordered aggregation, so many ids at a time; documents are cut
+from the bytes by the lengths of their tokens. Both tables have as many rows as the vocabulary makes, whatever the corpus.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from docloom.llm.common import id_and_text, pieces
@@ -36,6 +36,15 @@ BITS, STAGE, LONG, WALK = 32, 64, 1024, 8192
 #: Rows of state that a recursive query over long words may hold.
 MOST_STATES = 4_000_000
 
+#: Ids that one query decodes.
+MOST_IDS = 500_000
+
+#: What stands at the end of both recursive queries: each word's rows of its last round, in order.
+LAST = f"""
+SELECT s.k, s.tok, s.step
+FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROUP BY 1) l ON s.k >> {BITS} = l.word AND s.step = l.step
+ORDER BY s.k"""
+
 MERGE = f"""
 WITH RECURSIVE state(step, k, tok) AS (
   SELECT 0, k, tok FROM seed
@@ -47,10 +56,7 @@ WITH RECURSIVE state(step, k, tok) AS (
                            GROUP BY 1) b ON s.k >> {BITS} = b.word
         WHERE s.step < $steps)
   WHERE k <> place + 1
-)
-SELECT s.k >> {BITS} AS word, list(s.tok ORDER BY s.k) AS toks, any_value(s.step) AS step
-FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROUP BY 1) l ON s.k >> {BITS} = l.word AND s.step = l.step
-GROUP BY 1"""
+){LAST}"""
 
 #: As MERGE, but a round contracts every pair of a word's least rank, from the left, each second one of pairs that overlap. This is what
 #: one contraction after the other does, unless a new token forms a pair of a lesser rank with a neighbour (`risky` pairs are
@@ -76,21 +82,15 @@ WITH RECURSIVE state(step, k, tok) AS (
         WINDOW w AS (PARTITION BY word ORDER BY k))
   WINDOW w AS (PARTITION BY word ORDER BY k)
   QUALIFY NOT gone
-)
-SELECT s.k >> {BITS} AS word, list(s.tok ORDER BY s.k) AS toks, any_value(s.step) AS step
-FROM state s JOIN (SELECT k >> {BITS} AS word, max(step) AS step FROM state GROUP BY 1) l ON s.k >> {BITS} = l.word AND s.step = l.step
-GROUP BY 1"""
+){LAST}"""
 
-DECODE = """
-SELECT doc, array_to_string(list(piece ORDER BY place), '') AS text
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM coded) JOIN vocabulary USING (id)
-GROUP BY doc"""
+DECODE = "SELECT array_to_string(list(piece ORDER BY place), '') FROM coded JOIN vocabulary USING (id)"
 
 
 class Codec:
-    """A vocabulary's tables in a DuckDB database of this process, and the words encoded so far (`most_held` at most)."""
+    """A vocabulary's tables in a DuckDB database of this process, and the words and chunks encoded so far (`most_held` at most)."""
 
-    def __init__(self, path: str, pattern: str, most_held: int = 700_000):
+    def __init__(self, path: str, pattern: str, most_held: int = 1_000_000):
         import duckdb
         import regex
 
@@ -106,6 +106,9 @@ class Codec:
         # a token's bytes stand as characters of the same numbers, so that they aggregate as text
         self._table("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())}))
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        # by id; the last stands for ids outside the vocabulary, which no row of it joins
+        self.sizes = np.zeros(max(self.ranks.values()) + 2, dtype=np.int64)
+        self.sizes[list(self.ranks.values())] = [len(t) for t in self.ranks]
         self.split, self.match = regex.compile(pattern).findall, regex.compile(pattern).finditer
         self.words: dict[str, bytes] = {}
         self.seams: dict[tuple[int, int], bool] = {}
@@ -118,10 +121,10 @@ class Codec:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _merged(self, words: list[bytes], query: str) -> dict[int, list[int]]:
+    def _merged(self, words: list[bytes], query: str) -> dict[int, bytes]:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         tokens = self.byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        out: dict[int, list[int]] = {}
+        out: dict[int, bytes] = {}
         names = np.arange(len(words), dtype=np.int64)
         while len(names):
             steps = max(1, min(STAGE, MOST_STATES // len(tokens)))
@@ -130,14 +133,12 @@ class Codec:
             self.db.register("seed", pa.table({"k": k, "tok": tokens}))
             got = self.db.execute(query, {"steps": steps}).fetchnumpy()
             self.db.unregister("seed")
-            more = got["step"] >= steps
-            for name, toks, again in zip(got["word"].tolist(), got["toks"], more.tolist()):
-                if not again:
-                    out[name] = np.asarray(toks, dtype="<u4").tobytes()
-            names = got["word"][more].astype(np.int64)
-            left = [np.asarray(t, dtype=np.int32) for t in got["toks"][more]]
-            lengths = np.array([len(t) for t in left], dtype=np.int64)
-            tokens = np.concatenate(left) if left else tokens[:0]
+            word, toks, more = got["k"] >> BITS, got["tok"].astype(np.int32), got["step"] >= steps
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            names, again, ends = word[first], more[first], np.append(first[1:], len(word))
+            raw = toks.astype("<u4").tobytes()
+            out.update((name, raw[4 * i : 4 * j]) for name, i, j in zip(names[~again].tolist(), first[~again].tolist(), ends[~again].tolist()))
+            names, lengths, tokens = names[again], (ends - first)[again], toks[more]
         return out
 
     def _grouped(self, words: list[bytes], query: str = MERGE) -> list[bytes]:
@@ -236,44 +237,87 @@ class Codec:
         for word, raw in very_long:
             self.words[word] = self._long(raw)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers.
+    def _held(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks. Those met before are not split again, save long ones of several words, which seldom come again and would fill the
+        memory where texts have no spaces. What is held is thinned out to these chunks when it becomes too much."""
+        fresh = {c: self.split(c) if self.by_chunks else [c] for c in set(chunks).difference(self.words)}
+        unknown = set().union(*fresh.values()).difference(self.words)
+        if len(self.words) + len(fresh) + len(unknown) > self.most:
+            self.words = {c: self.words[c] for c in chunks if c in self.words}
+            unknown = set().union(*fresh.values()).difference(self.words)
+        self._learn(unknown)
+        word = self.words.__getitem__
+        joined = {c: b"".join(map(word, words)) for c, words in fresh.items() if words != [c]}
+        self.words.update((c, ids) for c, ids in joined.items() if len(c) <= STAGE)
+        return [joined[c] if c in joined else word(c) for c in chunks]
+
+    def _chunks(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Chunks, the number of each part's chunk, and how many parts each text has.
 
         A single space between two other characters that are not white space always starts a word of the public pattern, so texts
-        without other runs of white space beside spaces are looked up in chunks between spaces. With another pattern, texts are split whole.
+        without other runs of white space beside spaces are cut before spaces. Other texts, and all with another pattern, are cut into words.
         """
-        parts = []
-        for text in texts:
-            if not self.by_chunks:
-                parts.append([m.group() for m in self.match(text)])
-            elif _BESIDE(text) or text[:1] == " " or text[-1:] == " ":
-                parts.append(self.split(text))
-            else:
-                first, *rest = text.split(" ")
-                parts.append([first, *[f" {c}" for c in rest]] if first else [])
-        split = {c: self.split(c) if self.by_chunks else [c] for c in set().union(*parts)}
-        fresh = set().union(*split.values()).difference(self.words)
-        if len(self.words) + len(fresh) > self.most:
-            self.words.clear()
-            fresh = set().union(*split.values())
-        self._learn(fresh)
-        word = self.words.__getitem__
-        ids = {c: word(words[0]) if len(words) == 1 else b"".join(map(word, words)) for c, words in split.items()}
-        return [b"".join(map(ids.__getitem__, p)) for p in parts]
+        whole = pc.match_substring_regex(texts, _BESIDE).to_numpy(zero_copy_only=False) if self.by_chunks else np.ones(len(texts), dtype=bool)
+        cut = pc.split_pattern(texts.filter(pa.array(~whole)), " ")
+        counts = np.zeros(len(texts), dtype=np.int64)
+        counts[~whole] = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        parts = cut.flatten()
+        head = np.zeros(len(parts), dtype=bool)
+        head[np.cumsum(counts[~whole]) - counts[~whole]] = True
+        later = parts.filter(pa.array(~head)).dictionary_encode()
+        chunks = parts.filter(pa.array(head)).to_pylist()
+        of_cut = np.zeros(len(parts), dtype=np.int64)
+        of_cut[head] = np.arange(len(chunks))
+        of_cut[~head] = later.indices.to_numpy(zero_copy_only=False) + len(chunks)
+        chunks += [f" {c}" for c in later.dictionary.to_pylist()]
+        words: dict[str, int] = {}
+        found = [self.split(t) if self.by_chunks else [m.group() for m in self.match(t)] for t in texts.filter(pa.array(whole)).to_pylist()]
+        of_whole = [words.setdefault(w, len(chunks) + len(words)) for f in found for w in f]
+        counts[whole] = [len(f) for f in found]
+        numbers, by_whole = np.zeros(counts.sum(), dtype=np.int64), np.repeat(whole, counts)
+        numbers[~by_whole], numbers[by_whole] = of_cut, of_whole
+        return chunks + list(words), numbers, counts
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the n + 1 places between which each text's ids lie."""
+        chunks, numbers, counts = self._chunks(texts)
+        coded = self._held(chunks)
+        lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        starts, ids = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(coded), dtype="<u4")
+        taken = lengths[numbers]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        at = np.repeat(starts[numbers] - ends[:-1], taken) + np.arange(ends[-1])
+        return ids[at], ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        ids, ends = self.encode_column(pa.array(texts, pa.string()))
+        return _slices(ids.tobytes(), 4 * ends)
+
+    def decode_column(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each text, whose ids lie between two neighbours of `ends`."""
+        out = []
+        for start in range(0, len(ids), MOST_IDS):
+            some = ids[start : start + MOST_IDS].astype(np.int32)
+            self.db.register("coded", pa.table({"place": np.arange(len(some), dtype=np.int32), "id": some}))
+            out.append((self.db.execute(DECODE).fetchall()[0][0] or "").encode("latin-1"))
+            self.db.unregister("coded")
+        sizes = self.sizes[np.minimum(ids, len(self.sizes) - 1)]
+        return _slices(b"".join(out), np.concatenate([[0], np.cumsum(sizes)])[ends])
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
         """Each text's bytes from its ids."""
-        ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
-        ids = np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)
-        self.db.register("coded", pa.table({"doc": pa.array(range(len(coded)), pa.int32()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))}))
-        out = [b""] * len(coded)
-        for doc, text in self.db.execute(DECODE).fetchall():
-            out[doc] = text.encode("latin-1")
-        self.db.unregister("coded")
-        return out
+        return self.decode_column(np.frombuffer(b"".join(coded), dtype="<u4"), np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded], dtype=np.int64)]))
+
+
+def _slices(data: bytes, ends: np.ndarray) -> list[bytes]:
+    cuts = ends.tolist()
+    return [data[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
-_BESIDE = re.compile(r"\s | \s").search
+#: White space in Python's sense, which holds that of the pattern, beside a space or a space at an end.
+_WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
+_BESIDE = f"{_WHITE} | {_WHITE}|^ | $"
 _open: dict[tuple, Codec] = {}
 
 
@@ -291,9 +335,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary_path, pattern)
         for batch in pieces(batches, "text"):
-            coded = coder.encode(batch.column("text").to_pylist())
-            ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
-            ids = np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)
+            ids, ends = coder.encode_column(batch.column("text"))
+            ends, ids = ends.astype(np.int32), ids.astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -322,10 +365,10 @@ def round_trip(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(vocabulary_path, pattern)
         for batch in pieces(batches, "text", 2 << 20):
-            coded = coder.encode(batch.column("text").to_pylist())
-            decoded = coder.decode(coded)
+            ids, ends = coder.encode_column(batch.column("text"))
+            coded, decoded = _slices(ids.tobytes(), 4 * ends), coder.decode_column(ids, ends)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array([hashlib.sha256(d).hexdigest() for d in decoded])],
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array([hashlib.sha256(d).hexdigest() for d in decoded])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -244,6 +244,33 @@ def test_words_of_many_letters_fit_in_memory():
     assert sum(len(codec.tokens[i]) for i in np.frombuffer(coded, dtype="<u4").tolist()) == 1_500_000
 
 
+def test_known_chunks_are_not_split_again():
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    split, seen = codec.split, []
+    codec.split = lambda text: seen.append(text) or split(text)
+    texts = ["Some words, and (brackets).", "and Some (brackets)."]
+    for text in texts:
+        assert codec.encode([text])[0] == np.array(plain.encode_ordinary(text), dtype="<u4").tobytes()
+    assert sorted(seen) == sorted(["Some", " words,", " and", " (brackets).", "and", " Some"])
+    long = "x,1" * 50
+    assert codec.encode([long, long]) == [np.array(plain.encode_ordinary(long), dtype="<u4").tobytes()] * 2 and long not in codec.words
+
+
+def test_texts_are_kept_apart_whatever_is_held(monkeypatch):
+    """Texts cut in chunks, texts cut into words and empty ones in turn; what is held and what one query decodes are much less than there is."""
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, most_held=5)
+    monkeypatch.setattr(bpe, "MOST_IDS", 3)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    white = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = ["one two three", "", " lead", "trail ", "two  spaces", "x", "", "l'été 日本 x's", *[f"a{c} b{c}c {c}d {c}" for c in white], *[f"a{c}b c" for c in white], " ", ""]
+    for _ in range(2):
+        coded = codec.encode(texts)
+        assert coded == [np.array(plain.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
+        assert codec.decode(coded) == [t.encode() for t in texts]
+    assert codec.decode([]) == [] and codec.encode([]) == []
+
+
 def test_other_patterns():
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), r"\p{L}+|\p{N}+|\s"
     codec = bpe.Codec(path, pattern)
