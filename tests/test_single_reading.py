@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import chunking, markdown
+from docloom.operators import chunking, markdown, xref
 from docloom.plans.spec_tables import spec_documents
 
 LINES = ["# 1 One", "## 1.2. Two words", "###### deep", "#no", "# \xa0", "  # in", "#\ttab\r", "| a | b |", "| --- | :-: |", "|--|", "a | b", "text of some more words", "x" * 9, "", "  ", "\x1c", "\x85", "　 wide space", "- x", "```", "~~~", "one two three four five six seven"]
@@ -49,3 +49,37 @@ def test_tokens_of_a_text_read_in_python(spark):
     texts = ["", " ", "a", "a\x1cb\x85c\xa0d", "a b c", "é　é é", "\x0b x \x0c"]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.token_count(F.col("t")).alias("n"), T.norm_title(F.col("t")).alias("norm")).collect()
     assert {r.i: (r.n, r.norm) for r in rows} == {i: (T.token_count_of(t), T.norm_title_of(t)) for i, t in enumerate(texts)}
+
+
+def test_references_read_a_chunk_once_and_join_nothing(spark):
+    chunks = chunking.chunk_documents(some_documents(spark))
+    told = plan(xref.references(chunks, ["the unit", "view of"]))
+    assert told.count("MapInArrow") == 1 and "Join" not in told and "InMemoryRelation" not in told
+
+
+def test_phrases_are_found_without_the_normal_form_of_a_text(spark):
+    rng = random.Random(3)
+    bits = ["the", "The ", "a ", "an\t", "unit", " ", "\xa0", "\n", "values", "of", "View", "--", "x", "§", "é", "İ", "K", "the unit", "THE  UNIT.", "\x1c", "\x85"]
+    phrases = ["the unit", "values of", "the", "The View of", "a", "VALUES-of", "unit", "an x", "é", "k"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 7))) for _ in range(3000)]
+    rows = spark.createDataFrame([(1, n, f"c{n}", t) for n, t in enumerate(texts)], "doc_id long, order int, chunk_id string, text string")
+    normal = [(i, p, T.norm_title_of(p)) for i, p in enumerate(phrases)]
+    normal = [(i, p, n) for i, p, n in normal if n and not any(m == n and j > i for j, _, m in normal)]
+    got = sorted((r.order, r.occurrence, r.raw) for r in xref.phrase_refs(rows, phrases).collect())
+    bodies = rows.select("order", T.norm_title(F.col("text")).alias("norm")).collect()
+    assert got == sorted((r.order, i, p) for r in bodies for i, p, n in normal if n in r.norm)
+
+
+def test_the_first_chunk_is_the_target_and_the_longest_title_counts(spark):
+    rows = [
+        (1, 1, "a", "The Abort command", "1", "Figure 3: flow\nSection 2, SECTION 2 and section 9. We see Status Code Definitions of it; refer to Status x"),
+        (1, 2, "b", "Status Code", "2", "Figure 3: again. figure 3"),
+        (1, 3, "c", "Status code", "2", "an abort command; see Abort command."),
+        (2, 1, "d", "Status Code Definitions", None, "Section 1 and table 7"),
+    ]
+    chunks = spark.createDataFrame(rows, "doc_id long, order int, chunk_id string, title string, section_no string, text string")
+    got = [(r.chunk_id, r.ref_pos, r.raw, r.target, r.weight) for r in xref.references(chunks, ["abort command"]).orderBy("doc_id", "order", "ref_pos").collect()]
+    assert got == [
+        ("a", 1, "Section 2", "b", 1.0), ("a", 2, "section 9", None, 1.0), ("a", 3, "Figure 3", None, 0.9), ("a", 4, "Status Code Definitions of it", "b", 0.8),
+        ("b", 1, "Figure 3", "a", 0.9), ("c", 1, "abort command", "a", 0.8), ("d", 1, "Section 1", None, 1.0), ("d", 2, "table 7", None, 0.9),
+    ]
