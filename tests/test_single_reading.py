@@ -1,12 +1,15 @@
 """Documents and chunks are read once, whatever is asked of them, and give what the plain plans give."""
 
 import random
+import re
+import sys
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
-from docloom.operators import chunking, markdown, xref
+from docloom.operators import chunking, entities, markdown, xref
 from docloom.plans.spec_tables import spec_documents
 
 LINES = ["# 1 One", "## 1.2. Two words", "###### deep", "#no", "# \xa0", "  # in", "#\ttab\r", "| a | b |", "| --- | :-: |", "|--|", "a | b", "text of some more words", "x" * 9, "", "  ", "\x1c", "\x85", "　 wide space", "- x", "```", "~~~", "one two three four five six seven"]
@@ -83,3 +86,25 @@ def test_the_first_chunk_is_the_target_and_the_longest_title_counts(spark):
         ("a", 1, "Section 2", "b", 1.0), ("a", 2, "section 9", None, 1.0), ("a", 3, "Figure 3", None, 0.9), ("a", 4, "Status Code Definitions of it", "b", 0.8),
         ("b", 1, "Figure 3", "a", 0.9), ("c", 1, "abort command", "a", 0.8), ("d", 1, "Section 1", None, 1.0), ("d", 2, "table 7", None, 0.9),
     ]
+
+
+def test_words_of_a_text_read_in_python():
+    word = re.compile(r"\w")
+    assert all(bool(word.match(c)) == (c == "_" or unicodedata.category(c)[0] in "LN") == xref._is_word(c) for c in map(chr, range(sys.maxunicode + 1)))
+
+
+def test_only_runs_that_are_titles_leave_a_worker(spark):
+    rows = [(1, 1, "a", "İstanbul Yolu", "ISTANBUL YOLU, i̇stanbul yolu"), (1, 2, "b", "ΟΔΟΣ ΜΕΓΑΣ", "οδος μεγας. Οδος μεγασ ΟΔΟΣ ΜΕΓΑΣ Other Title"), (2, 1, "c", "Other Title", "a other title _Other Title Other Titles"), (3, 1, "d", "Scope", "Other Title")]
+    chunks = spark.createDataFrame(rows, "doc_id long, order int, chunk_id string, title string, text string")
+    spans = xref.title_spans(chunks)
+    assert "posexplode" not in plan(spans).lower() and plan(spans).count("MapInArrow") == 1
+    assert [(r.chunk_id, r.at, r.name, r.own_title) for r in spans.orderBy("doc_id", "chunk_id", "at").collect()] == [("c", 2, "other title", "Other Title")]
+    long = chunks.select("doc_id", "order", "chunk_id", F.concat("title", F.lit(" latina")).alias("title"), F.concat("text", F.lit(" ΟΔΟΣ ΜΕΓΑΣ LATINA İstanbul yolu Latina")).alias("text"))
+    assert [(r.chunk_id, r.name) for r in xref.title_spans(long).where("doc_id = 1").orderBy("chunk_id", "at").collect()] == [("a", "ΟΔΟΣ ΜΕΓΑΣ LATINA"), ("a", "İstanbul yolu Latina"), ("b", "ΟΔΟΣ ΜΕΓΑΣ LATINA"), ("b", "İstanbul yolu Latina")]
+
+
+def test_claims_are_collapsed_after_they_are_found(spark):
+    rows = [(1, "a", "T", "It \xa0shall\n do.\x1cIt may! No. \t It\x85must  not? marshall"), (1, "b", "T", "nothing here"), (1, "c", "T", None)]
+    found = entities.claims(spark.createDataFrame(rows, "doc_id long, chunk_id string, title string, text string"))
+    assert [(r.chunk_id, r.pos, r.statement) for r in found.orderBy("pos").collect()] == [("a", 0, "It shall do. It may!"), ("a", 2, "It must not?")]
+    assert plan(found).count("RLIKE") == 2
