@@ -55,8 +55,10 @@ def co_occurrence(members: DataFrame) -> DataFrame:
 def claims(chunks: DataFrame, mentions: DataFrame | None = None) -> DataFrame:
     """(doc_id, chunk_id, pos, subject, statement): sentences of a chunk's text that say shall, should, may or must; the subject is the
     first name that the chunk mentions, else its title."""
-    sentences = chunks.select("doc_id", "chunk_id", "title", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "statement"))
-    found = sentences.withColumn("statement", T.collapse(F.col("statement"))).where(F.col("statement").rlike(r"\b(shall|should|may|must)\b"))
+    # white space is no part of these words, so texts and sentences without them go before theirs is collapsed
+    normative = r"(?=[sm])\b(?:shall|should|may|must)\b"
+    sentences = chunks.where(F.col("text").rlike(normative)).select("doc_id", "chunk_id", "title", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "statement"))
+    found = sentences.where(F.col("statement").rlike(normative)).withColumn("statement", T.collapse(F.col("statement")))
     if mentions is None:
         return found.select("doc_id", "chunk_id", "pos", F.col("title").alias("subject"), "statement")
     first = mentions.groupBy("doc_id", "chunk_id").agg(F.min_by("name", "mention_pos").alias("first"))
